@@ -1 +1,143 @@
-"""Queries (to be filled)."""
+"""Measurement queries: ratings by age on ``events`` (M1-M3), review scores per
+part from return flags (M4-M7), A/B statistics on ``orders`` (M8-M11)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from insight.operators import measure as M
+from insight.plans.registry import i64, query, r
+from insight.sources import Tables
+
+_AGE = """e AS (SELECT event_type, value,
+  date_diff('day', CAST(ts AS DATE), (SELECT CAST(max(ts) AS DATE) FROM events)) AS days FROM events)"""
+
+
+def _events_age(spark, sf_dir):
+    e = Tables(spark, sf_dir).events
+    ref = e.agg(F.to_date(F.max("ts")).alias("_ref"))
+    return e.crossJoin(F.broadcast(ref)).select(
+        "event_type", "value", F.datediff("_ref", F.to_date("ts")).alias("days"))
+
+
+@query("avg_rating", sql="SELECT round(avg(value), 6) AS avg_rating, CAST(count(value) AS BIGINT) AS n FROM events")
+def q_avg_rating(spark, sf_dir):
+    """M1: the plain average."""
+    e = Tables(spark, sf_dir).events
+    return e.agg(r(F.avg("value")).alias("avg_rating"), i64(F.count("value")).alias("n"))
+
+
+@query("avg_by_age", sql=f"""WITH {_AGE}, q AS (SELECT quantile_cont(days, [0.25, 0.5, 0.75]) AS q FROM e)
+SELECT CASE WHEN days <= q[1] THEN 1 WHEN days <= q[2] THEN 2 WHEN days <= q[3] THEN 3 ELSE 4 END
+  AS quartile, round(avg(value), 6) AS avg_rating, CAST(count(value) AS BIGINT) AS n
+FROM e, q GROUP BY 1""")
+def q_avg_by_age(spark, sf_dir):
+    out = M.avg_by_age(_events_age(spark, sf_dir), "days", "value")
+    return out.select("quartile", r("avg_rating").alias("avg_rating"), i64("n").alias("n"))
+
+
+@query("time_weighted_avg", sql=f"""WITH {_AGE},
+q AS (SELECT event_type, quantile_cont(days, [0.25, 0.5, 0.75]) AS q FROM e GROUP BY event_type),
+b AS (SELECT e.event_type, value, CASE WHEN days <= q[1] THEN 1 WHEN days <= q[2] THEN 2
+      WHEN days <= q[3] THEN 3 ELSE 4 END AS k FROM e JOIN q USING (event_type))
+SELECT event_type, round(avg(CASE WHEN k = 1 THEN value END) * 28 / 100
+  + avg(CASE WHEN k = 2 THEN value END) * 26 / 100 + avg(CASE WHEN k = 3 THEN value END) * 24 / 100
+  + avg(CASE WHEN k = 4 THEN value END) * 22 / 100, 6) AS weighted_rating FROM b GROUP BY event_type""")
+def q_time_weighted_avg(spark, sf_dir):
+    out = M.time_based_weighted_average(_events_age(spark, sf_dir), "days", "value", ["event_type"])
+    return out.select("event_type", r("weighted_rating").alias("weighted_rating"))
+
+
+_VOTES = """v AS (SELECT l_partkey, count_if(l_returnflag IN ('A', 'N')) AS up,
+  count_if(l_returnflag = 'R') AS down FROM lineitem GROUP BY l_partkey),
+z AS (SELECT 1.959963984540054 AS z),
+s AS (SELECT l_partkey, up, down, up - down AS score_pos_neg_diff,
+  CASE WHEN up + down = 0 THEN 0.0 ELSE up / (up + down) END AS score_average_rating,
+  CASE WHEN up + down = 0 THEN 0.0 ELSE
+   (up / (up + down) + z * z / (2 * (up + down)) - z * sqrt((up / (up + down) * (1 - up / (up + down))
+    + z * z / (4 * (up + down))) / (up + down))) / (1 + z * z / (up + down)) END AS wilson_lower_bound
+  FROM v, z)"""
+
+
+def _votes(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem
+    v = li.groupBy("l_partkey").agg(F.count_if(F.col("l_returnflag").isin("A", "N")).alias("up"),
+                                    F.count_if(F.col("l_returnflag") == "R").alias("down"))
+    return M.review_scores(v, "up", "down")
+
+
+@query("vote_scores", sql=f"""WITH {_VOTES}
+SELECT l_partkey, CAST(up AS BIGINT) AS up, CAST(down AS BIGINT) AS down,
+  CAST(score_pos_neg_diff AS BIGINT) AS score_pos_neg_diff,
+  round(score_average_rating, 6) AS score_average_rating,
+  round(wilson_lower_bound, 6) AS wilson_lower_bound FROM s""")
+def q_vote_scores(spark, sf_dir):
+    s = _votes(spark, sf_dir)
+    return s.select("l_partkey", i64("up").alias("up"), i64("down").alias("down"),
+                    i64("score_pos_neg_diff").alias("score_pos_neg_diff"),
+                    r("score_average_rating").alias("score_average_rating"),
+                    r("wilson_lower_bound").alias("wilson_lower_bound"))
+
+
+@query("wilson_top", sql=f"""WITH {_VOTES}
+SELECT l_partkey, round(wilson_lower_bound, 6) AS wilson_lower_bound FROM s
+ORDER BY wilson_lower_bound DESC, l_partkey LIMIT 20""")
+def q_wilson_top(spark, sf_dir):
+    """M7: the top-20 report by Wilson lower bound (a top-k report: the limit is the feature)."""
+    s = _votes(spark, sf_dir)
+    return s.orderBy(F.col("wilson_lower_bound").desc(), "l_partkey").limit(20).select(
+        "l_partkey", r("wilson_lower_bound").alias("wilson_lower_bound"))
+
+
+@query("t_test_stat", sql="""WITH g AS (SELECT o_orderpriority AS g, count(*) AS n, avg(o_totalprice) AS m,
+  var_samp(o_totalprice) AS v FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW') GROUP BY 1),
+a AS (SELECT * FROM g WHERE g = '1-URGENT'), b AS (SELECT * FROM g WHERE g = '5-LOW')
+SELECT round((a.m - b.m) / sqrt(((a.n - 1) * a.v + (b.n - 1) * b.v) / (a.n + b.n - 2)
+  * (1.0 / a.n + 1.0 / b.n)), 6) AS t_stat, CAST(a.n + b.n - 2 AS BIGINT) AS dof FROM a, b""")
+def q_t_test_stat(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    t = M.ttest_ind(o, "o_orderpriority", "o_totalprice", "1-URGENT", "5-LOW")
+    return t.select(r("t_stat").alias("t_stat"), "dof")
+
+
+@query("levene_stat", sql="""WITH x AS (SELECT o_orderpriority AS g, o_totalprice AS v FROM orders
+  WHERE o_orderpriority IN ('1-URGENT', '5-LOW')),
+m AS (SELECT g, quantile_cont(v, 0.5) AS med FROM x GROUP BY g),
+z AS (SELECT x.g, abs(v - med) AS z FROM x JOIN m USING (g)),
+gi AS (SELECT g, count(*) AS ni, avg(z) AS zi FROM z GROUP BY g),
+t AS (SELECT count(*) AS n, avg(z) AS zbar FROM z),
+w AS (SELECT sum((z - zi) * (z - zi)) AS within FROM z JOIN gi USING (g)),
+b AS (SELECT sum(ni * (zi - zbar) * (zi - zbar)) AS between FROM gi, t)
+SELECT round((n - 2) / 1.0 * between / within, 6) AS w_stat, CAST(1 AS BIGINT) AS df1,
+  CAST(n - 2 AS BIGINT) AS df2 FROM t, w, b""")
+def q_levene_stat(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders.where(F.col("o_orderpriority").isin("1-URGENT", "5-LOW"))
+    w = M.levene(o, "o_orderpriority", "o_totalprice")
+    return w.select(r("w_stat").alias("w_stat"), "df1", "df2")
+
+
+@query("two_prop_z", sql="""WITH s AS (SELECT
+  count_if(o_orderpriority = '1-URGENT' AND o_orderstatus = 'F') AS x1,
+  count_if(o_orderpriority = '1-URGENT') AS n1,
+  count_if(o_orderpriority = '5-LOW' AND o_orderstatus = 'F') AS x2,
+  count_if(o_orderpriority = '5-LOW') AS n2 FROM orders)
+SELECT round((x1 / n1 - x2 / n2) / sqrt((x1 + x2) / (n1 + n2) * (1 - (x1 + x2) / (n1 + n2))
+  * (1.0 / n1 + 1.0 / n2)), 6) AS z_stat, round(x1 / n1, 6) AS p1, round(x2 / n2, 6) AS p2 FROM s""")
+def q_two_prop_z(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    z = M.proportions_ztest(o, "o_orderpriority", F.col("o_orderstatus") == "F", "1-URGENT", "5-LOW")
+    return z.select(r("z_stat").alias("z_stat"), r("p1").alias("p1"), r("p2").alias("p2"))
+
+
+@query("ab_test")
+def q_ab_test(spark, sf_dir):
+    """M9-M11 with p-values: statistics from Spark, p from a few scalars."""
+    o = Tables(spark, sf_dir).orders
+    t = q_t_test_stat(spark, sf_dir).first()
+    w = q_levene_stat(spark, sf_dir).first()
+    z = q_two_prop_z(spark, sf_dir).first()
+    rows = [("t_test", float(t["t_stat"]), M.t_two_sided_p(t["t_stat"], t["dof"])),
+            ("levene", float(w["w_stat"]), M.f_upper_p(w["w_stat"], w["df1"], w["df2"])),
+            ("two_prop_z", float(z["z_stat"]), M.normal_two_sided_p(z["z_stat"]))]
+    del o
+    return spark.createDataFrame(rows, "test string, statistic double, p_value double")

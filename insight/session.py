@@ -19,6 +19,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "16g",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
