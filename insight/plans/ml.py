@@ -1 +1,113 @@
-"""Queries (to be filled)."""
+"""Model queries (rows-only checks): regression on lineitem x part,
+classification on labels x documents, clustering of customers by RFM."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from insight.operators import ml as L
+from insight.operators import prep as X
+from insight.plans import crm
+from insight.plans.registry import query, r
+from insight.sources import Tables
+
+_REG_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"]
+
+
+def _reg_data(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    li = t.lineitem.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice",
+                                       "p_size"), "l_partkey")
+    li = li.withColumn("row_key", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    return L.hash_split(li.select("row_key", "l_extendedprice", *_REG_FEATURES), "row_key", 0.2)
+
+
+@query("hash_split")
+def q_hash_split(spark, sf_dir):
+    """L1: every line labelled train/test by a seeded key hash."""
+    return _reg_data(spark, sf_dir).select("row_key", "split")
+
+
+@query("linear_regression")
+def q_linear_regression(spark, sf_dir):
+    """OLS coefficients and train/test RMSE and R^2."""
+    d = _reg_data(spark, sf_dir)
+    model = L.fit_linear(d.where(F.col("split") == "train"), _REG_FEATURES, "l_extendedprice")
+    pred = model.transform(L.assemble(d, _REG_FEATURES))
+    met = L.regression_metrics(pred, "l_extendedprice", by=["split"])
+    coef = L.coefficients_table(spark, model, _REG_FEATURES)
+    long = met.select(F.concat(F.lit("rmse_"), "split").alias("term"), F.col("rmse").alias("value")) \
+        .unionByName(met.select(F.concat(F.lit("r2_"), "split").alias("term"), F.col("r2").alias("value")))
+    return coef.unionByName(long).select("term", r("value").alias("value"))
+
+
+@query("gbt_regression")
+def q_gbt_regression(spark, sf_dir):
+    """Boosted trees, test RMSE, importances (zero-importance flagged)."""
+    d = _reg_data(spark, sf_dir)
+    model = L.fit_gbt(d.where(F.col("split") == "train"), _REG_FEATURES, "l_extendedprice",
+                      max_iter=20, max_depth=4)
+    imp = L.importance_table(spark, model, _REG_FEATURES)
+    rmse = L.regression_metrics(model.transform(L.assemble(d.where(F.col("split") == "test"),
+                                                          _REG_FEATURES)), "l_extendedprice")
+    return imp.withColumn("zero_importance", F.col("importance") == 0).crossJoin(
+        rmse.select(r("rmse").alias("test_rmse")))
+
+
+@query("grid_search")
+def q_grid_search(spark, sf_dir):
+    """3-fold cross-validated grid (2 x 2) with mean RMSE per point."""
+    d = _reg_data(spark, sf_dir).where(F.col("split") == "train")
+    cv = L.cross_validate(d, _REG_FEATURES, "l_extendedprice", folds=3,
+                          grid={"maxDepth": [2, 4], "maxIter": [5, 10]})
+    rows = []
+    for pm, metric in zip(cv.getEstimatorParamMaps(), cv.avgMetrics):
+        params = {p.name: v for p, v in pm.items()}
+        rows.append((int(params["maxDepth"]), int(params["maxIter"]), float(metric)))
+    return spark.createDataFrame(rows, "max_depth int, max_iter int, mean_rmse double")
+
+
+@query("random_forest")
+def q_random_forest(spark, sf_dir):
+    """Predict document quality from its length, language and source."""
+    t = Tables(spark, sf_dir)
+    docs = t.documents.select("doc_id", "n_chars", "lang", "source").join(
+        t.labels.select("doc_id", "quality"), "doc_id")
+    docs = X.one_hot(docs, ["lang", "source"], drop_first=False)
+    feats = [c for c in docs.columns if c not in ("doc_id", "quality")]
+    d = L.hash_split(docs, "doc_id", 0.3, seed=17)
+    model = L.fit_random_forest(d.where(F.col("split") == "train"), feats, "quality")
+    acc = L.accuracy(model.transform(L.assemble(d.where(F.col("split") == "test"), feats)), "quality")
+    return L.importance_table(spark, model, feats).crossJoin(acc.select(r("accuracy").alias("accuracy")))
+
+
+def _rfm_scaled(spark, sf_dir):
+    m = crm._rfm(spark, sf_dir)
+    return X.minmax_scale(m, ["recency", "frequency", "monetary"])
+
+
+@query("kmeans")
+def q_kmeans(spark, sf_dir):
+    """K-means on scaled RFM, 1-based labels, per-cluster profile."""
+    data = _rfm_scaled(spark, sf_dir)
+    model = L.kmeans(data, ["recency", "frequency", "monetary"], k=4)
+    lab = model.transform(L.assemble(data, ["recency", "frequency", "monetary"])).withColumn(
+        "cluster", F.col("prediction") + 1)
+    return L.cluster_profile(lab, "cluster", ["recency", "frequency", "monetary"])
+
+
+@query("elbow")
+def q_elbow(spark, sf_dir):
+    """Inertia for k = 1..8 and the knee."""
+    rows = L.elbow(_rfm_scaled(spark, sf_dir), ["recency", "frequency", "monetary"], range(1, 9))
+    return spark.createDataFrame(rows, "k int, inertia double, knee boolean")
+
+
+@query("bisecting")
+def q_bisecting(spark, sf_dir):
+    """8 clusters, top-down."""
+    data = _rfm_scaled(spark, sf_dir)
+    cols = ["recency", "frequency", "monetary"]
+    model = L.bisecting(data, cols, 8)
+    lab = model.transform(L.assemble(data, cols)).withColumn("cluster", F.col("prediction") + 1)
+    return L.cluster_profile(lab, "cluster", cols)
