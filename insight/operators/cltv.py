@@ -8,7 +8,7 @@ Fitting: customers are first collapsed to distinct (x, t_x, T) - or (x, m) -
 with a weight, which is reliably checkpointed into ``spark.checkpoint.dir``.
 A Nelder-Mead search runs on the driver over 3-4 numbers; each iteration
 evaluates all of its candidate points in ONE aggregate pass over the
-checkpointed table. Only parameter vectors and sums cross to the driver.
+checkpointed table (candidate points are rows of a tiny broadcast table). Only parameter vectors and sums cross to the driver.
 """
 
 from __future__ import annotations
@@ -157,16 +157,20 @@ def fit_bgnbd(base: DataFrame, frequency: str = "frequency", recency: str = "rec
     scale = 10.0 / data.agg(F.max("T")).first()[0]
     x, tx, T = F.col("x"), F.col("tx") * scale, F.col("T") * scale
 
+    spark = base.sparkSession
+    ll = bgnbd_loglik_expr(x, tx, T, F.col("_r"), F.col("_alpha"), F.col("_a"), F.col("_b"))
+
     def evaluate(points):
-        aggs = []
-        for i, lp in enumerate(points):
-            r, alpha, a, b = np.exp(lp)
-            ll = bgnbd_loglik_expr(x, tx, T, r, alpha, a, b)
-            aggs.append((F.sum(F.col("_w") * ll) / F.sum("_w")).alias(f"f{i}"))
-        row = data.agg(*aggs).first()
+        # candidate points are rows of a tiny table, so the generated code is
+        # identical in every iteration and all points share one pass
+        params = spark.createDataFrame(
+            [(i, *map(float, np.exp(lp))) for i, lp in enumerate(points)],
+            "_pid int, _r double, _alpha double, _a double, _b double")
+        rows = {row["_pid"]: row["f"] for row in data.crossJoin(F.broadcast(params))
+                .groupBy("_pid").agg((F.sum(F.col("_w") * ll) / F.sum("_w")).alias("f")).collect()}
         out = []
         for i, lp in enumerate(points):
-            v = row[f"f{i}"]
+            v = rows.get(i)
             pen = penalizer * float(np.sum(np.exp(lp) ** 2))
             out.append(np.inf if v is None or not np.isfinite(v) else -v + pen)
         return out
@@ -182,18 +186,20 @@ def fit_ggamma(base: DataFrame, frequency: str = "frequency", monetary: str = "m
     data = _compact(base.select(F.col(frequency).cast("double").alias("x"),
                                 F.col(monetary).alias("m")), ["x", "m"])
 
+    spark = base.sparkSession
+    ll = ggamma_loglik_expr(F.col("x"), F.col("m"), F.col("_p"), F.col("_q"), F.col("_v"))
+
     def evaluate(points):
-        aggs = []
-        for i, lp in enumerate(points):
-            p, q, v = np.exp(lp)
-            ll = ggamma_loglik_expr(F.col("x"), F.col("m"), p, q, v)
-            aggs.append((F.sum(F.col("_w") * ll) / F.sum("_w")).alias(f"f{i}"))
-        row = data.agg(*aggs).first()
+        params = spark.createDataFrame(
+            [(i, *map(float, np.exp(lp))) for i, lp in enumerate(points)],
+            "_pid int, _p double, _q double, _v double")
+        rows = {row["_pid"]: row["f"] for row in data.crossJoin(F.broadcast(params))
+                .groupBy("_pid").agg((F.sum(F.col("_w") * ll) / F.sum("_w")).alias("f")).collect()}
         out = []
         for i, lp in enumerate(points):
-            v = row[f"f{i}"]
+            val = rows.get(i)
             pen = penalizer * float(np.sum(np.exp(lp) ** 2))
-            out.append(np.inf if v is None or not np.isfinite(v) else -v + pen)
+            out.append(np.inf if val is None or not np.isfinite(val) else -val + pen)
         return out
 
     best = np.exp(_nelder_mead(evaluate, np.zeros(3)))
