@@ -1,0 +1,2 @@
+"""Structured Streaming: none of the analyses reads a stream (no watermark,
+windowed or stateful operator occurs), so nothing is registered here."""
