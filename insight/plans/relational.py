@@ -35,8 +35,9 @@ WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')""")
 def q_semi_join(spark, sf_dir):
     """Customers with at least one urgent order."""
     t = Tables(spark, sf_dir)
+    # keys deduplicated first: map-side partial aggregation shrinks the build side
     urgent = t.orders.where(F.col("o_orderpriority") == "1-URGENT").select(
-        F.col("o_custkey").alias("c_custkey"))
+        F.col("o_custkey").alias("c_custkey")).distinct()
     return t.customer.select("c_custkey", "c_name").join(urgent, "c_custkey", "left_semi")
 
 
@@ -46,7 +47,7 @@ def q_anti_join(spark, sf_dir):
     """Parts never returned."""
     t = Tables(spark, sf_dir)
     returned = t.lineitem.where(F.col("l_returnflag") == "R").select(
-        F.col("l_partkey").alias("p_partkey"))
+        F.col("l_partkey").alias("p_partkey")).distinct()
     return t.part.select("p_partkey").join(returned, "p_partkey", "left_anti")
 
 
