@@ -7,7 +7,7 @@ from tests.oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
 load_all()
-SLOW = {"cltv_score", "grid_search", "elbow", "ab_test"}
+SLOW = {"cltv_score", "grid_search", "elbow", "ab_test", "forecast"}
 
 
 @pytest.fixture(scope="module")
