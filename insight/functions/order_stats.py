@@ -279,7 +279,8 @@ def first_rank_thresholds(df: DataFrame, value: str, key: str, q: int,
 
 
 def multi_first_rank_thresholds(df: DataFrame, columns: Sequence[str], key: str, q: int,
-                                n_buckets: int = DEFAULT_BUCKETS) -> dict[str, list[tuple]]:
+                                n_buckets: int = DEFAULT_BUCKETS,
+                                quantile_columns: dict[str, Sequence[float]] | None = None):
     """First-rank bin thresholds for several columns (four jobs in all).
 
     Ranks 1..n have edges 1 + i(n-1)/q, so a row falls in a bin <= i exactly
@@ -287,9 +288,21 @@ def multi_first_rank_thresholds(df: DataFrame, columns: Sequence[str], key: str,
     is found in two exact steps: the value at that rank (value counts), then
     the key at the remaining position among the rows tied on that value (key
     counts of those rows only). Nothing numbers the whole table.
+
+    ``quantile_columns`` ({column: probs}) rides along in the first step, so
+    plain quantiles of other columns cost no extra job; the return value is
+    then ``(thresholds, quantiles)``.
     """
+    quantile_columns = dict(quantile_columns or {})
     kq = lambda n: [(i * (n - 1)) // q for i in range(1, q)]
-    step1 = _locate_groups(stacked_counts(df, columns), "_v", lambda g, n: kq(n), n_buckets)
+    qranks = {c: _quantile_ranks(p) for c, p in quantile_columns.items()}
+
+    def ranks(g, n):
+        return qranks[g](g, n) if g in qranks else kq(n)
+
+    step1 = _locate_groups(stacked_counts(df, list(columns) + list(quantile_columns)), "_v",
+                           ranks, n_buckets)
+    qout = {c: _interp(*step1.get(c, (0, {})), p) for c, p in quantile_columns.items()}
     ties, tie_rank = [], {}
     for c in columns:
         n, found = step1.get(c, (0, {}))
@@ -298,21 +311,18 @@ def multi_first_rank_thresholds(df: DataFrame, columns: Sequence[str], key: str,
             gid = f"{c}|{i}"
             ties.append((gid, c, v))
             tie_rank[gid] = k - before
-    if not ties:
-        return {c: [] for c in columns}
-    parts = []
-    for gid, c, v in ties:
-        parts.append(df.where(F.col(c).cast("double") == F.lit(v)).select(
-            F.lit(gid).alias("_g"), F.col(key).alias("_key")))
-    tied = parts[0]
-    for p in parts[1:]:
-        tied = tied.unionByName(p)
-    kc = tied.groupBy("_g", "_key").agg(F.count(F.lit(1)).alias("_cnt"))
-    step2 = _locate_groups(kc, "_key", lambda g, n: [tie_rank[g]], n_buckets)
     out = {c: [] for c in columns}
-    for gid, c, v in ties:
-        out[c].append((v, step2[gid][1][tie_rank[gid]][0]))
-    return out
+    if ties:
+        parts = [df.where(F.col(c).cast("double") == F.lit(v)).select(
+            F.lit(gid).alias("_g"), F.col(key).alias("_key")) for gid, c, v in ties]
+        tied = parts[0]
+        for p in parts[1:]:
+            tied = tied.unionByName(p)
+        kc = tied.groupBy("_g", "_key").agg(F.count(F.lit(1)).alias("_cnt"))
+        step2 = _locate_groups(kc, "_key", lambda g, n: [tie_rank[g]], n_buckets)
+        for gid, c, v in ties:
+            out[c].append((v, step2[gid][1][tie_rank[gid]][0]))
+    return (out, qout) if quantile_columns else out
 
 
 def first_rank_label(value: str, key: str, thresholds: Sequence[tuple],

@@ -25,10 +25,10 @@ def basket_items(df: DataFrame, basket: str, item: str, quantity: str) -> DataFr
 def frequent_itemsets(pairs: DataFrame, basket: str, item: str, min_support: float) -> DataFrame:
     """(items sorted array, freq, support) with support >= min_support."""
     baskets = pairs.groupBy(basket).agg(F.array_sort(F.collect_set(item)).alias("items"))
-    n = baskets.count()
+    n = pairs.agg(F.count_distinct(basket).alias("_nb"))  # one row, attached lazily
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=0.0).fit(baskets)
-    return model.freqItemsets.select(F.array_sort("items").alias("items"), "freq",
-                                     (F.col("freq") / F.lit(n)).alias("support"))
+    return model.freqItemsets.crossJoin(F.broadcast(n)).select(
+        F.array_sort("items").alias("items"), "freq", (F.col("freq") / F.col("_nb")).alias("support"))
 
 
 def association_rules(itemsets: DataFrame, min_support: float = 0.0) -> DataFrame:

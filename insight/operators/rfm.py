@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from insight.functions.order_stats import (
     first_rank_label,
     multi_first_rank_thresholds,
-    multi_quantiles,
     qcut_label,
 )
 from insight.session import ensure_checkpoint_dir
@@ -72,10 +71,12 @@ def rfm_scores(rfm: DataFrame, key: str, bins: int = 5, materialize: bool = True
         ensure_checkpoint_dir(rfm.sparkSession)
         rfm = rfm.checkpoint(eager=True)
     base = rfm.select(key, "recency", "frequency", "monetary")
-    edges = multi_quantiles(base, ["recency"], [i / bins for i in range(bins + 1)])["recency"]
+    thr, qs = multi_first_rank_thresholds(
+        base, ["frequency", "monetary"], key, bins,
+        quantile_columns={"recency": [i / bins for i in range(bins + 1)]})
+    edges = qs["recency"]
     if len(set(edges)) < len(edges):
         raise ValueError(f"qcut: bin edges must be unique: {edges}")
-    thr = multi_first_rank_thresholds(base, ["frequency", "monetary"], key, bins)
     scored = rfm.withColumns({
         "recency_score": qcut_label("recency", edges, list(reversed(up))),
         "frequency_score": first_rank_label("frequency", key, thr["frequency"], up),
