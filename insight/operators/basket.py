@@ -15,6 +15,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from insight.session import ensure_checkpoint_dir
+
 
 def basket_items(df: DataFrame, basket: str, item: str, quantity: str) -> DataFrame:
     """A10: (basket, item) pairs whose summed quantity is positive."""
@@ -27,8 +29,12 @@ def frequent_itemsets(pairs: DataFrame, basket: str, item: str, min_support: flo
     baskets = pairs.groupBy(basket).agg(F.array_sort(F.collect_set(item)).alias("items"))
     n = pairs.agg(F.count_distinct(basket).alias("_nb"))  # one row, attached lazily
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=0.0).fit(baskets)
+    # freqItemsets is backed by an uncached RDD: every reference would mine the
+    # FP-tree again, so the (small) itemset table is checkpointed once
+    ensure_checkpoint_dir(pairs.sparkSession)
     return model.freqItemsets.crossJoin(F.broadcast(n)).select(
-        F.array_sort("items").alias("items"), "freq", (F.col("freq") / F.col("_nb")).alias("support"))
+        F.array_sort("items").alias("items"), "freq",
+        (F.col("freq") / F.col("_nb")).alias("support")).checkpoint(eager=True)
 
 
 def association_rules(itemsets: DataFrame, min_support: float = 0.0) -> DataFrame:
