@@ -216,3 +216,21 @@ def q_coerce_types(spark, sf_dir):
     return e.select("event_id", F.col("props").try_cast("double").alias("props_number"),
                     F.regexp_extract("props", "[0-9]+", 0).try_cast("double").alias("k_value"),
                     F.to_date("ts").alias("event_date"))
+
+
+@query("first_description", sql="""SELECT p_brand, arg_min(p_name, p_partkey) AS p_name
+FROM part GROUP BY p_brand""")
+def q_first_description(spark, sf_dir):
+    """The first name recorded for each brand code (by part key)."""
+    p = Tables(spark, sf_dir).part
+    return X.first_description(p, "p_brand", "p_name", "p_partkey")
+
+
+@query("minmax_inverse", sql="""SELECT p_partkey, round(p_retailprice, 6) AS p_retailprice FROM part""")
+def q_minmax_inverse(spark, sf_dir):
+    """X15 then X17: scaling to (0, 1) and back returns the original values."""
+    p = Tables(spark, sf_dir).part.select("p_partkey", "p_retailprice")
+    lim = p.agg(F.min("p_retailprice").alias("lo"), F.max("p_retailprice").alias("hi")).first()
+    scaled = X.minmax_scale(p, ["p_retailprice"])
+    back = X.minmax_inverse(scaled, {"p_retailprice": (lim["lo"], lim["hi"])})
+    return back.select("p_partkey", r("p_retailprice").alias("p_retailprice"))

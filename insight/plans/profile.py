@@ -197,3 +197,44 @@ def q_distinct_diff(spark, sf_dir):
     late = li.where(F.col("l_shipdate") >= F.lit("1996-01-01").cast("timestamp"))
     d = P.distinct_count_diff(early, late, _DCOLS)
     return d.select("column_name", i64("n_a").alias("n_a"), i64("n_b").alias("n_b"))
+
+
+@query("null_counts", sql=f"""WITH {_PART_N}, c AS (
+SELECT 'p_partkey' AS column_name, count(*) - count(p_partkey) AS n_miss FROM part_n
+UNION ALL SELECT 'p_name', count(*) - count(p_name) FROM part_n
+UNION ALL SELECT 'p_brand', count(*) - count(p_brand) FROM part_n
+UNION ALL SELECT 'p_type', count(*) - count(p_type) FROM part_n
+UNION ALL SELECT 'p_size', count(*) - count(p_size) FROM part_n
+UNION ALL SELECT 'p_retailprice', count(*) - count(p_retailprice) FROM part_n)
+SELECT column_name, CAST(n_miss AS BIGINT) AS n_miss FROM c""")
+def q_null_counts(spark, sf_dir):
+    """Null count of every column, one pass."""
+    n = P.null_counts(part_n(spark, sf_dir))
+    return n.select("column_name", F.col("n_miss").cast("bigint").alias("n_miss"))
+
+
+@query("drop_null_columns", sql=f"""WITH {_PART_N}
+SELECT p_partkey, p_brand, p_size FROM part_n""")
+def q_drop_null_columns(spark, sf_dir):
+    """A column that is null everywhere is dropped (metadata: one count per column)."""
+    from insight.sources import drop_all_null_columns
+    p = part_n(spark, sf_dir).select("p_partkey", "p_brand", "p_size",
+                                     F.lit(None).cast("double").alias("empty_metric"))
+    return drop_all_null_columns(p)
+
+
+@query("group_stats", sql="""SELECT l_suppkey, round(sum(l_quantity), 6) AS sum_qty,
+  round(avg(l_quantity), 6) AS mean_qty, round(median(l_quantity), 6) AS median_qty,
+  round(stddev_samp(l_quantity), 6) AS std_qty FROM lineitem GROUP BY l_suppkey""")
+def q_group_stats(spark, sf_dir):
+    """A1: per-group sum, mean, exact median and sample sd. The median uses the
+    distributed grouped quantiles (value counts + bucket offsets), so a group
+    holding a large share of rows is not collected into one task."""
+    from insight.functions.order_stats import quantiles
+    li = Tables(spark, sf_dir).lineitem.select("l_suppkey", "l_quantity")
+    base = li.groupBy("l_suppkey").agg(F.sum("l_quantity").alias("s"), F.avg("l_quantity").alias("m"),
+                                       F.stddev_samp("l_quantity").alias("sd"))
+    med = quantiles(li, "l_quantity", [0.5], ["l_suppkey"], out="_q")
+    return base.join(med, "l_suppkey").select(
+        "l_suppkey", r("s").alias("sum_qty"), r("m").alias("mean_qty"),
+        r(F.col("_q")[0]).alias("median_qty"), r("sd").alias("std_qty"))
