@@ -81,14 +81,16 @@ def fill_mode(df: DataFrame, columns: Sequence[str], max_distinct: int = 25) ->
     """Nulls -> most frequent value (lowest on ties), only for columns with
     at most ``max_distinct`` distinct values, null counted as one."""
     row = df.agg(*[F.count_distinct(c).alias(f"{c}__nd") for c in columns],
-                 *[F.count_if(F.col(c).isNull()).alias(f"{c}__nn") for c in columns],
-                 *[F.mode(c, True).alias(f"{c}__mode") for c in columns]).first()
-    fills = {}
-    for c in columns:
-        nd = row[f"{c}__nd"] + (1 if row[f"{c}__nn"] else 0)
-        if nd <= max_distinct and row[f"{c}__mode"] is not None:
-            fills[c] = F.coalesce(F.col(c), F.lit(row[f"{c}__mode"]))
-    return df.withColumns(fills)
+                 *[F.count_if(F.col(c).isNull()).alias(f"{c}__nn") for c in columns]).first()
+    eligible = [c for c in columns
+                if row[f"{c}__nd"] + (1 if row[f"{c}__nn"] else 0) <= max_distinct]
+    if not eligible:
+        return df
+    # mode only where the distinct count is proven small (its buffer holds one
+    # entry per distinct value)
+    modes = df.agg(*[F.mode(c, True).alias(c) for c in eligible]).first()
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(modes[c]))
+                           for c in eligible if modes[c] is not None})
 
 
 def fill_absent(df: DataFrame, columns: Sequence[str], min_null_share: float = 0.45,
