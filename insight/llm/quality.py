@@ -56,7 +56,7 @@ RULES: dict[str, Callable[[Callable[[str], Column]], Column]] = {
     "few_words": lambda m: m("n_words") < 50,
     "repeated_windows": lambda m: 100 * m("n_repeat_words") > 50 * m("n_words"),
     "symbol_heavy": lambda m: 100 * m("n_symbols") > 10 * m("n_words"),
-    "repeated_lines": lambda m: 100 * m("n_dup_lines") > 30 * m("n_lines"),
+    "repeated_lines": lambda m: 100 * m("n_dup_lines") > 50 * m("n_lines"),
     "short_words": lambda m: m("word_chars") < 2 * m("n_words"),
     "long_words": lambda m: m("word_chars") > 20 * m("n_words"),
     "very_long": lambda m: m("n_words") > 1_000_000,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from insight.llm import chat, mixing, quality
+from insight.llm import chat, mixing, quality, secrets
 from insight.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,7 +45,7 @@ m AS (
   FROM base LEFT JOIN spots USING (doc_id)),
 b AS (
   SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT
-     + 4 * (100 * n_symbols > 10 * n_words)::INT + 8 * (100 * n_dup_lines > 30 * n_lines)::INT
+     + 4 * (100 * n_symbols > 10 * n_words)::INT + 8 * (100 * n_dup_lines > 50 * n_lines)::INT
      + 16 * (word_chars < 2 * n_words)::INT + 32 * (word_chars > 20 * n_words)::INT
      + 64 * (n_words > 1000000)::INT)::BIGINT AS fail_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
@@ -131,3 +131,21 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query("op4_secret_scan")
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, the digest of the base spans, and all spans of every document."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    ordered = F.array_sort("spans", lambda a, b: F.when(a["start"] != b["start"], (a["start"] - b["start"]).cast("int"))
+                           .otherwise(a["rule"] - b["rule"]))
+    base_kinds = [r.kind for r in secrets.BASE]
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
+
+    rows = found.select("doc_id", ordered.alias("spans"))
+    rows = rows.withColumn("base", F.filter("spans", lambda s: s["kind"].isin(*base_kinds)))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base_kinds]
+    return rows.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+                       joined(F.col("spans")).alias("spans"))
