@@ -141,11 +141,13 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                            .otherwise(a["rule"] - b["rule"]))
     base_kinds = [r.kind for r in secrets.BASE]
 
+    def n_of(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
     rows = found.select("doc_id", ordered.alias("spans"))
     rows = rows.withColumn("base", F.filter("spans", lambda s: s["kind"].isin(*base_kinds)))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base_kinds]
-    return rows.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+    return rows.select("doc_id", *[n_of(k) for k in base_kinds], F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
                        joined(F.col("spans")).alias("spans"))
