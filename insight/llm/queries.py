@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from insight.llm import chat, mixing, quality, secrets
+from insight.llm import bpe, chat, mixing, quality, secrets, token_counts
 from insight.llm.common import table
+from insight.llm.tokens import public
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -151,3 +152,16 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.withColumn("base", F.filter("spans", lambda s: s["kind"].isin(*base_kinds)))
     return rows.select("doc_id", *[n_of(k) for k in base_kinds], F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
                        joined(F.col("spans")).alias("spans"))
+
+
+@query("op5_bpe_roundtrip")
+def op5_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of their decoding."""
+    return bpe.encode(table(spark, sf_dir, "documents"), public("word_bpe_49k.json"), digest=True)
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it is over the limit of the contract."""
+    rows = token_counts.token_counts(table(spark, sf_dir, "documents"), public("word_bpe_49k.json"), word_parted=True)
+    return rows.withColumn("over_limit", F.col("n_tokens") > 2048)

@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 from functools import cache
 
+import numpy as np
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 
@@ -46,8 +48,10 @@ class ModelTokens:
         return [len(x) for x in self.tok.encode(texts, num_threads=1)]
 
     def offsets(self, text: str) -> list[tuple[int, int]]:
-        proto = self.tok.encode(text, out_type="immutable_proto")
-        return [(p.begin, p.end) for p in proto.pieces]
+        """The library counts bytes; these are code points."""
+        data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+        point = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        return [(int(point[p.begin]), int(point[p.end])) for p in self.tok.encode(text, return_type="proto").pieces]
 
 
 @cache
