@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from insight.llm import bpe, chat, mixing, quality, secrets, token_counts
+from insight.llm import bpe, chat, html_text, licenses, mixing, quality, secrets, token_counts, topk
 from insight.llm.common import table
 from insight.llm.tokens import public
 
@@ -165,3 +165,45 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document, and whether it is over the limit of the contract."""
     rows = token_counts.token_counts(table(spark, sf_dir, "documents"), public("word_bpe_49k.json"), word_parted=True)
     return rows.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+TOPK_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+WHERE rank <= 10"""
+
+
+@query("op7_exact_topk", TOPK_SQL)
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best inner products of every hundredth vector among all others."""
+    rows = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.search(rows.filter(F.col("vec_id") % 100 == 0), rows, 10, 4 * spark.sparkContext.defaultParallelism)
+
+
+@query("op8_license_scan")
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the contract's phrases, all labels, and the share of license wording."""
+    rows = licenses.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("places", lambda p: p["base"])
+
+    def labels(places):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))), ",")
+
+    starts = F.transform(base, lambda p: p["start"])
+    return rows.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), labels(base).alias("base_labels"), labels(F.col("places")).alias("labels"),
+        F.coalesce(F.try_divide(F.col("covered_words").cast("double"), F.col("n_words").cast("double")), F.lit(0.0)).alias("score"))
+
+
+@query("op10_html_text")
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    rows = html_text.extract(table(spark, sf_dir, "pages"))
+    return rows.withColumn("n_chars", F.length("text").cast("long"))
