@@ -4,16 +4,21 @@ For tokenizers whose words part at ASCII white space (normaliser, word pattern
 and added tokens never reach across it), a text's ids are its words' ids in
 order. The work is done in three steps:
 
-1. ``split_blocks``: texts are split in blocks of about ``BLOCK_BYTES``. A block
-   is one row of word codes (most frequent word first, so the codes compress)
-   and, per hash bucket, one row of its distinct words.
+1. ``block_words`` and ``block_codes``: texts are split in blocks of about
+   ``BLOCK_BYTES``. A block has a table of distinct words (most frequent first,
+   one row per hash bucket) and one row of word codes, which are places in that
+   table. The two are made by two passes over the same texts, as keeping the
+   codes on disk between them would cost more than splitting again; a block's
+   key is a hash of its content, so blocks that differ could only miss each
+   other, which ``join_back`` reports as an error.
 2. ``encode_buckets``: rows of a bucket meet in one task, which encodes each
-   distinct word once and joins its ids to their pieces. A word that is a third
-   of all words comes once per block.
-3. ``join_back``: each block's codes meet its words' ids, joined by position.
+   distinct word once. A word that is a third of all words comes once per block.
+3. ``join_back``: each block's codes meet its words' ids, joined by position,
+   and the ids meet their pieces in the id-to-piece table.
 
 Buckets grow with the input, blocks are bounded in bytes (a longer text is cut
-at white space while it is split). Nothing passes through the driver.
+at white space while it is split). Nothing passes through the driver. The
+texts must come in the same order in both passes, as from any table.
 
 Defined cases: a null or empty text has no ids and decodes to the empty
 string; a word without tokens adds nothing; repeated rows each give a row; an
@@ -27,27 +32,27 @@ import math
 import re
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import count
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from insight.llm.common import utf8, written
+from insight.llm.common import utf8
 from insight.llm.tokens import tokens
 
 #: Text bytes of a block; a block's rows meet in one task.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 #: Longest part of one text that is split into words at once.
 PART_BYTES = 4 << 20
 WHITE = re.compile(rb"[\x20\x09-\x0D]")
-BLOCK_SCHEMA = "block bigint, bucket int, doc_ids array<{id}>, lengths array<bigint>, codes binary, words binary"
 
 
 def parts(data: bytes, most: int = PART_BYTES) -> Iterator[bytes]:
@@ -68,6 +73,7 @@ def pack(codes: np.ndarray) -> bytes:
 
 
 def unpack(data: bytes) -> np.ndarray:
+    """Codes of ``pack``, writable by nobody."""
     planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
@@ -92,106 +98,116 @@ class Block:
         self.lengths.append(n)
         self.size += len(data)
 
-    def rows(self, block: int, n_buckets: int) -> Iterator[dict]:
+    def ranked(self) -> tuple[str, np.ndarray, np.ndarray]:
+        """Key of the block, its codes with the most frequent word as 0, and each first code's rank."""
         codes = np.concatenate(self.codes) if self.codes else np.zeros(0, np.uint32)
         order = np.argsort(-np.bincount(codes, minlength=len(self.code)), kind="stable")
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
-        yield {"block": block, "bucket": -1, "doc_ids": self.ids, "lengths": self.lengths,
-               "codes": pack(rank[codes]) if len(codes) else b"", "words": None}
+        key = xxhash.xxh3_128(b" ".join(self.code))
+        key.update(codes.tobytes())
+        return key.hexdigest(), rank[codes] if len(codes) else codes, rank
+
+    def words(self, n_buckets: int) -> Iterator[dict]:
+        key, _, rank = self.ranked()
         by_bucket: dict[int, list] = defaultdict(list)
         for word, code in self.code.items():
             by_bucket[zlib.crc32(word) % n_buckets].append((rank[code], word))
         for bucket, found in by_bucket.items():
             found.sort()
-            yield {"block": block, "bucket": bucket, "doc_ids": None, "lengths": None,
-                   "codes": pack(np.array([c for c, _ in found], np.uint32)),
+            yield {"block": key, "bucket": bucket, "codes": pack(np.array([c for c, _ in found], np.uint32)),
                    "words": zstandard.compress(b" ".join(w for _, w in found), 3)}
 
+    def documents(self) -> Iterator[dict]:
+        key, codes, _ = self.ranked()
+        yield {"block": key, "doc_ids": self.ids, "lengths": self.lengths, "n_words": len(self.code), "codes": pack(codes)}
+
 
-def split_blocks(docs: DataFrame, n_buckets: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Step 1. ``docs`` has two columns: id and text."""
-    id_type = docs.dtypes[0][1]
-    schema = BLOCK_SCHEMA.format(id=id_type)
-    arrow = pa.schema([("block", pa.int64()), ("bucket", pa.int32()),
-                       ("doc_ids", pa.list_(to_arrow_type(docs.schema[0].dataType))), ("lengths", pa.list_(pa.int64())),
-                       ("codes", pa.binary()), ("words", pa.binary())])
+def _blocks(docs: DataFrame, block_bytes: int, rows: Callable[[Block], Iterator[dict]], schema: str) -> DataFrame:
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, seq, block = TaskContext.get().partitionId() << 32, 0, Block()
+        block = Block()
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 block.add(doc_id, utf8(text.as_py()))
                 if block.size >= block_bytes:
-                    yield pa.RecordBatch.from_pylist(list(block.rows(first + seq, n_buckets)), arrow)
-                    seq, block = seq + 1, Block()
+                    yield pa.RecordBatch.from_pylist(list(rows(block)), arrow)
+                    block = Block()
         if block.ids:
-            yield pa.RecordBatch.from_pylist(list(block.rows(first + seq, n_buckets)), arrow)
+            yield pa.RecordBatch.from_pylist(list(rows(block)), arrow)
 
     return docs.mapInArrow(run, schema)
 
 
-WORDS_SCHEMA = "block bigint, codes binary, n_tokens binary, ids binary, pieces binary"
+def block_words(docs: DataFrame, n_buckets: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Step 1, per block and bucket: the bucket's words and their codes. ``docs`` is (id, text)."""
+    return _blocks(docs, block_bytes, lambda b: b.words(n_buckets), "block string, bucket int, codes binary, words binary")
 
 
-def encode_buckets(words: DataFrame, n_buckets: int, path: str) -> DataFrame:
-    """Step 2. Per (block, bucket): codes, and for each its token count, ids and pieces.
+def block_codes(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Step 1, per block: ids, word counts and word codes of its documents."""
+    return _blocks(docs, block_bytes, Block.documents,
+                   f"block string, doc_ids array<{docs.dtypes[0][1]}>, lengths array<bigint>, n_words bigint, codes binary")
 
-    A word's ids are one decimal string, its pieces one decoded string; a line
-    feed parts the words (neither string can hold one).
-    """
+
+def encode_buckets(words: DataFrame, n_buckets: int, path: str) -> DataFrame:
+    """Step 2. Per block and bucket: codes, and for each its token count and ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokens(path)
-        piece = tok.pieces()
-        known: dict[bytes, tuple[int, str, str]] = {}
+        known: dict[bytes, list[int]] = {}
         for batch in batches:
             for block, codes, packed in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 found = zstandard.decompress(packed).split()
                 new = [w for w in found if w not in known]
-                for word, ids in zip(new, tok.ids([w.decode("utf-8", "surrogatepass") for w in new])):
-                    known[word] = (len(ids), " ".join(map(str, ids)), " ".join([piece[i] for i in ids]))
-                n, ids, pieces = zip(*[known[w] for w in found])
+                known.update(zip(new, tok.ids([w.decode("utf-8", "surrogatepass") for w in new])))
+                ids = [known[w] for w in found]
                 yield pa.RecordBatch.from_pydict({
-                    "block": pa.array([block], pa.int64()), "codes": pa.array([codes], pa.binary()),
-                    "n_tokens": pa.array([pack(np.array(n, np.uint32))], pa.binary()),
-                    "ids": pa.array([zstandard.compress("\n".join(ids).encode(), 3)], pa.binary()),
-                    "pieces": pa.array([zstandard.compress("\n".join(pieces).encode(), 3)], pa.binary())})
+                    "block": [block], "codes": pa.array([codes], pa.binary()),
+                    "n_tokens": pa.array([pack(np.fromiter(map(len, ids), np.uint32, len(ids)))], pa.binary()),
+                    "ids": pa.array([pack(np.array([i for x in ids for i in x], np.uint32))], pa.binary())})
 
     dealt = words.repartition(n_buckets, "bucket").select("block", "codes", "words")
-    return dealt.mapInArrow(run, WORDS_SCHEMA)
+    return dealt.mapInArrow(run, "block string, codes binary, n_tokens binary, ids binary")
 
 
-def join_back(blocks: DataFrame, words: DataFrame, digest: bool) -> DataFrame:
+def join_back(blocks: DataFrame, words: DataFrame, path: str, digest: bool) -> DataFrame:
     """Step 3. One row per document: its ids and decoded text, or their digests."""
     id_type = dict(blocks.dtypes)["doc_ids"][len("array<"):-1]
-    out = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" if digest else "n_tokens bigint, ids array<int>, decoded string"
+    names = ("ids_sha256 string", "decoded_sha256 string") if digest else ("ids array<int>", "decoded string")
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        n_words = int(left["n_words"].max()) if len(left) else -1
+        if sum(len(unpack(c)) for c in right["codes"]) < n_words or not len(left):
+            raise RuntimeError("the texts came in another order in the second pass; write them to a table first")
+        piece = np.array(tokens(path).pieces(), object)
+        decimal = np.array([str(i) for i in range(len(piece))], object)
+        n_of, ids_of, pieces_of = np.zeros(n_words, np.int64), np.empty(n_words, object), np.empty(n_words, object)
+        for codes, n, ids in zip(right["codes"], right["n_tokens"], right["ids"]):
+            codes, n, ids = unpack(codes), unpack(n), unpack(ids)
+            n_of[codes] = n
+            ends = np.cumsum(n, dtype=np.int64)
+            for table, out in ((decimal, ids_of), (piece, pieces_of)):
+                found = table[ids].tolist()
+                out[codes] = [" ".join(found[a:b]) for a, b in zip((ends - n).tolist(), ends.tolist())]
         rows = []
-        codes = [unpack(c) for c in right["codes"]]
-        size = sum(map(len, codes))
-        n_of, ids_of, pieces_of = np.zeros(size, np.int64), np.empty(size, object), np.empty(size, object)
-        for where, n, ids, pieces in zip(codes, right["n_tokens"], right["ids"], right["pieces"]):
-            n_of[where] = unpack(n)
-            ids_of[where] = zstandard.decompress(ids).decode().split("\n")
-            pieces_of[where] = zstandard.decompress(pieces).decode().split("\n")
         for block in left.itertuples(index=False):
-            every = unpack(block.codes) if len(block.codes) else np.zeros(0, np.uint32)
-            at = 0
+            every, at = unpack(block.codes), 0
             for doc_id, length in zip(block.doc_ids, block.lengths):
                 mine = every[at:at + length]
                 at += length
                 mine = mine[n_of[mine] > 0]
                 ids, text = " ".join(ids_of[mine].tolist()), " ".join(pieces_of[mine].tolist())
-                if digest:
-                    made = (hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest())
-                else:
-                    made = ([int(i) for i in ids.split()], text)
+                made = (sha256(ids), sha256(text)) if digest else ([int(i) for i in ids.split()], text)
                 rows.append((doc_id, int(n_of[mine].sum()), *made))
-        return pd.DataFrame(rows, columns=["doc_id", "n_tokens", *(("ids_sha256", "decoded_sha256") if digest else ("ids", "decoded"))])
+        return pd.DataFrame(rows, columns=["doc_id", "n_tokens", *(n.split()[0] for n in names)])
+
+    return (blocks.groupBy("block").cogroup(words.groupBy("block"))
+            .applyInPandas(run, f"doc_id {id_type}, n_tokens bigint, {', '.join(names)}"))
+
 
-    return (blocks.select("block", "doc_ids", "lengths", "codes").groupBy("block").cogroup(words.groupBy("block"))
-            .applyInPandas(run, f"doc_id {id_type}, {out}"))
+def sha256(text: str) -> str:
+    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
 
 
 def encode(docs: DataFrame, path: str, digest: bool = False, id_col: str = "doc_id", text_col: str = "text",
@@ -199,9 +215,8 @@ def encode(docs: DataFrame, path: str, digest: bool = False, id_col: str = "doc_
     """Encode and decode every text: (doc_id, n_tokens, ids, decoded), or digests of the last two."""
     two = docs.select(F.col(id_col), F.col(text_col))
     n_buckets = math.ceil(8 * max(1, two.rdd.getNumPartitions()) ** 0.75)
-    made = written(split_blocks(two, n_buckets, block_bytes), "bpe-blocks")
-    words = encode_buckets(made.filter("bucket >= 0").select("block", "bucket", "codes", "words"), n_buckets, path)
-    return join_back(made.filter("bucket < 0"), words, digest)
+    words = encode_buckets(block_words(two, n_buckets, block_bytes), n_buckets, path)
+    return join_back(block_codes(two, block_bytes), words, path, digest)
 
 
 def piece_table(spark, path: str) -> DataFrame:
