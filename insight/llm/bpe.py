@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -45,26 +44,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from insight.llm.common import utf8
+from insight.llm.common import parts, utf8
 from insight.llm.tokens import tokens
 
 #: Text bytes of a block; a block's rows meet in one task.
 BLOCK_BYTES = 32 << 20
-#: Longest part of one text that is split into words at once.
-PART_BYTES = 4 << 20
-WHITE = re.compile(rb"[\x20\x09-\x0D]")
-
-
-def parts(data: bytes, most: int = PART_BYTES) -> Iterator[bytes]:
-    """A text in parts cut at white space; a longer word stays whole."""
-    at = 0
-    while len(data) - at > most:
-        cut = WHITE.search(data, at + most)
-        if not cut:
-            break
-        yield data[at:cut.start()]
-        at = cut.end()
-    yield data[at:]
 
 
 def pack(codes: np.ndarray) -> bytes:

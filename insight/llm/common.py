@@ -8,6 +8,7 @@ inside a multi-byte character.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -19,6 +20,9 @@ from insight.session import ensure_checkpoint_dir
 
 #: Fixed value of the contracts: the characters that part words.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Longest part of one text that is split into words at once, so that a huge text needs little memory.
+PART_BYTES = 4 << 20
+WHITE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,3 +57,15 @@ def utf8(value: str | None) -> bytes:
 def word_count(text) -> F.Column:
     """Number of words of a text column (null: 0), inside the JVM."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def parts(data: bytes, most: int = PART_BYTES) -> Iterator[bytes]:
+    """A text in parts cut at white space; a longer word stays whole."""
+    at = 0
+    while len(data) - at > most:
+        cut = WHITE.search(data, at + most)
+        if not cut:
+            break
+        yield data[at:cut.start()]
+        at = cut.end()
+    yield data[at:]

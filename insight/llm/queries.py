@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from insight.llm import bpe, chat, html_text, licenses, mixing, quality, secrets, token_counts, topk
+from insight.llm import bpe, chat, html_text, licenses, mixing, near_dup, quality, secrets, token_counts, topk
 from insight.llm.common import table
 from insight.llm.tokens import public
 
@@ -207,3 +207,9 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     rows = html_text.extract(table(spark, sf_dir, "pages"))
     return rows.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op1_minhash_dedup")
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 2-word shingle sets are at least 80% alike."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
