@@ -33,6 +33,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from insight.llm.common import arrow_map, parts, utf8, written
@@ -135,10 +136,11 @@ def prefixes(classes: DataFrame) -> DataFrame:
     shared = posted.groupBy("elem").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     held = posted.join(shared, "elem")
     # all postings - shared ones = own ones; the prefix has COORDINATES - MATCHES + 1 places
-    places = F.lit(COORDINATES - MATCHES + 1) - (F.lit(COORDINATES) - F.size("all"))
-    kept = (held.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "elem"))).alias("all"))
-            .filter(places > 0).select("node", F.explode(F.slice("all", F.lit(1), places)).alias("p"))
-            .select("node", F.col("p.elem").alias("elem")))
+    mine = W.partitionBy("node")
+    kept = (held.withColumn("rank", F.row_number().over(mine.orderBy("df", "elem")))
+            .withColumn("shared", F.count(F.lit(1)).over(mine))
+            .filter(F.col("rank") + COORDINATES - F.col("shared") <= COORDINATES - MATCHES + 1)
+            .select("node", "elem"))
     return kept.join(classes.select("node", "n", "sketch"), "node")
 
 
