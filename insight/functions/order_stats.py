@@ -35,6 +35,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 DEFAULT_BUCKETS = 128
 SKETCH_ACCURACY = 10000
@@ -318,13 +319,48 @@ def multi_first_rank_thresholds(df: DataFrame, columns: Sequence[str], key: str,
         tied = parts[0]
         for p in parts[1:]:
             tied = tied.unionByName(p)
-        kc = tied.groupBy("_g", "_key").agg(F.count(F.lit(1)).alias("_cnt"))
-        step2 = _locate_groups(kc, "_key", lambda g, n: [tie_rank[g]], n_buckets)
+        if isinstance(df.schema[key].dataType, (StringType, BinaryType)):
+            keys = text_at_rank(tied, tie_rank, n_buckets)
+        else:
+            kc = tied.groupBy("_g", "_key").agg(F.count(F.lit(1)).alias("_cnt"))
+            step2 = _locate_groups(kc, "_key", lambda g, n: [tie_rank[g]], n_buckets)
+            keys = {g: step2[g][1][tie_rank[g]][0] for g in tie_rank}
         for gid, c, v in ties:
-            out[c].append((v, step2[gid][1][tie_rank[gid]][0]))
+            out[c].append((v, keys[gid]))
     return (out, qout) if quantile_columns else out
 
 
+#: Bytes of a text key that one round of ``text_at_rank`` looks at (an exact double).
+KEY_BYTES = 6
+
+
+def text_at_rank(rows: DataFrame, ranks: dict[str, int], n_buckets: int = DEFAULT_BUCKETS) -> dict[str, str]:
+    """The text key at a rank of each group of (_g, _key), in byte order.
+
+    Each round looks at the next six bytes as a number, finds the number at
+    the rank, and goes on with the rows that have it and the rank among them.
+    The rounds end with the longest key that is left.
+    """
+    def chunk(j: int) -> Column:
+        part = F.hex(F.substring(F.col("_key").cast("binary"), j * KEY_BYTES + 1, KEY_BYTES))
+        return F.conv(F.rpad(part, 2 * KEY_BYTES, "0"), 16, 10).cast("long").cast("double")
+
+    left, at, j = rows, dict(ranks), 0
+    while True:
+        counts = left.select("_g", chunk(j).alias("_c")).groupBy("_g", "_c").agg(F.count(F.lit(1)).alias("_cnt"))
+        found = _locate_groups(counts, "_c", lambda g, n: [at[g]], n_buckets)
+        same = F.lit(False)
+        for g, rank in at.items():
+            value, before = found[g][1][rank]
+            at[g] = rank - before
+            same = same | ((F.col("_g") == g) & (chunk(j) == F.lit(value)))
+        left = left.where(same)
+        ends = left.groupBy("_g").agg(F.min("_key").alias("lo"), F.max("_key").alias("hi")).collect()
+        if all(e["lo"] == e["hi"] for e in ends):
+            return {e["_g"]: e["lo"] for e in ends}
+        j += 1
+
+
 def first_rank_label(value: str, key: str, thresholds: Sequence[tuple],
                      labels: Sequence) -> Column:
     xv, kv = F.col(value), F.col(key)

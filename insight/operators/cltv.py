@@ -6,9 +6,10 @@ predictions are column expressions (own ``lgamma`` and 2F1, no UDF).
 
 Fitting: customers are first collapsed to distinct (x, t_x, T) - or (x, m) -
 with a weight, which is reliably checkpointed into ``spark.checkpoint.dir``.
-A Nelder-Mead search runs on the driver over 3-4 numbers; each iteration
-evaluates all of its candidate points in ONE aggregate pass over the
-checkpointed table (candidate points are rows of a tiny broadcast table). Only parameter vectors and sums cross to the driver.
+A damped Newton search runs on the driver over 3-4 numbers; each iteration
+evaluates all of its points in two aggregate passes over the checkpointed
+table (points are rows of a tiny broadcast table). Only parameter vectors and
+sums cross to the driver. A fit that does not reach a flat point raises.
 """
 
 from __future__ import annotations
@@ -80,11 +81,12 @@ def ggamma_expected_profit(x: Column, m: Column, p: float, q: float, v: float) -
 
 
 def bgnbd_expected_purchases(t: float, x: Column, tx: Column, T: Column, r: float,
-                             alpha: float, a: float, b: float, terms: int = 200) -> Column:
+                             alpha: float, a: float, b: float, terms: int = 400) -> Column:
     """Expected purchases in the next ``t`` periods. The 2F1 series is
     summed directly when it converges fast and otherwise through Euler's
     transformation 2F1(a,b;c;z) = (1-z)^(c-a-b) 2F1(c-a,c-b;c;z), whose
-    coefficients do not grow with the purchase count."""
+    coefficients do not grow with the purchase count. A series whose last term
+    still counts raises instead of returning a cut sum."""
     x = x.cast("double")
     ha, hb, hc = r + x, b + x, a + b + x - 1
     z = F.lit(float(t)) / (alpha + T + t)
@@ -99,45 +101,47 @@ def bgnbd_expected_purchases(t: float, x: Column, tx: Column, T: Column, r: floa
 
 
 # ------------------------------------------------------------------ fitting
-def _nelder_mead(evaluate, x0: np.ndarray, max_iter: int = 120, xatol: float = 1e-4,
-                 fatol: float = 1e-6) -> np.ndarray:
-    """Nelder-Mead where ``evaluate(points) -> values`` scores a batch of
-    points in one distributed pass. Reflection, expansion and both
-    contractions are evaluated together, so each iteration costs one job."""
-    n = len(x0)
-    simplex = [x0.astype(float)]
-    for i in range(n):
-        y = x0.astype(float).copy()
-        y[i] = y[i] * 1.05 if y[i] != 0 else 0.00025
-        simplex.append(y)
-    simplex = np.array(simplex)
-    fvals = np.array(evaluate(list(simplex)))
+STEP = 3e-4
+STEP_SIZES = (1.0, 0.5, 0.25, 0.1, 0.03, 0.01, 0.001)
+
+
+def minimise(evaluate, x0: np.ndarray, tol: float = 1e-6, max_iter: int = 200) -> tuple[np.ndarray, float]:
+    """Damped Newton search where ``evaluate(points) -> values`` scores a batch
+    of points in one distributed pass.
+
+    One pass gives gradient and curvature by differences, a second one tries
+    all step sizes. The search ends when no gradient component exceeds
+    ``tol``; a search that does not get there raises, so that no limit on the
+    number of steps ever decides a result.
+    """
+    x, n = np.array(x0, float), len(x0)
+    units = np.eye(n) * STEP
+    pairs = [(i, j) for i in range(n) for j in range(i)]
     for _ in range(max_iter):
-        order = np.argsort(fvals)
-        simplex, fvals = simplex[order], fvals[order]
-        if (np.max(np.abs(simplex[1:] - simplex[0])) <= xatol
-                and np.max(np.abs(fvals[1:] - fvals[0])) <= fatol):
-            break
-        centroid = simplex[:-1].mean(axis=0)
-        worst = simplex[-1]
-        xr = centroid + (centroid - worst)
-        xe = centroid + 2 * (centroid - worst)
-        xoc = centroid + 0.5 * (xr - centroid)
-        xic = centroid + 0.5 * (worst - centroid)
-        fr, fe, foc, fic = evaluate([xr, xe, xoc, xic])
-        if fr < fvals[0]:
-            simplex[-1], fvals[-1] = (xe, fe) if fe < fr else (xr, fr)
-        elif fr < fvals[-2]:
-            simplex[-1], fvals[-1] = xr, fr
-        elif fr < fvals[-1] and foc <= fr:
-            simplex[-1], fvals[-1] = xoc, foc
-        elif fr >= fvals[-1] and fic < fvals[-1]:
-            simplex[-1], fvals[-1] = xic, fic
-        else:
-            shrunk = [simplex[0] + 0.5 * (p - simplex[0]) for p in simplex[1:]]
-            simplex[1:] = shrunk
-            fvals[1:] = evaluate(shrunk)
-    return simplex[int(np.argmin(fvals))]
+        f = np.array(evaluate([x, *(x + u for u in units), *(x - u for u in units),
+                               *(x + units[i] + units[j] for i, j in pairs)]))
+        if not np.isfinite(f).all():
+            raise RuntimeError("the likelihood is not finite near the current parameters")
+        f0, up, down, cross = f[0], f[1:n + 1], f[n + 1:2 * n + 1], f[2 * n + 1:]
+        grad = (up - down) / (2 * STEP)
+        if np.abs(grad).max() < tol:
+            return x, float(np.abs(grad).max())
+        hess = np.diag((up - 2 * f0 + down) / STEP ** 2)
+        for (i, j), c in zip(pairs, cross):
+            hess[i, j] = hess[j, i] = (c - up[i] - up[j] + f0) / STEP ** 2
+        curve, axes = np.linalg.eigh(hess)
+        move = -axes @ ((axes.T @ grad) / np.maximum(np.abs(curve), 1e-5))
+        move *= min(1.0, 2.0 / np.abs(move).max())
+        steep = -grad / np.abs(grad).max()
+        tries = [x + t * d for d in (move, steep) for t in STEP_SIZES]
+        values = np.array(evaluate(tries))
+        best = int(np.nanargmin(np.where(np.isfinite(values), values, np.inf)))
+        if not values[best] < f0:
+            if np.abs(grad).max() < 100 * tol:
+                return x, float(np.abs(grad).max())  # as flat as the sums are exact
+            raise RuntimeError(f"no descent at gradient {np.abs(grad).max():.3g}")
+        x = tries[best]
+    raise RuntimeError(f"not converged after {max_iter} steps, gradient {np.abs(grad).max():.3g}")
 
 
 def _compact(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -175,7 +179,8 @@ def fit_bgnbd(base: DataFrame, frequency: str = "frequency", recency: str = "rec
             out.append(np.inf if v is None or not np.isfinite(v) else -v + pen)
         return out
 
-    best = np.exp(_nelder_mead(evaluate, np.zeros(4)))
+    found, _ = minimise(evaluate, np.zeros(4))
+    best = np.exp(found)
     return {"r": float(best[0]), "alpha": float(best[1] / scale), "a": float(best[2]),
             "b": float(best[3])}
 
@@ -202,15 +207,18 @@ def fit_ggamma(base: DataFrame, frequency: str = "frequency", monetary: str = "m
             out.append(np.inf if val is None or not np.isfinite(val) else -val + pen)
         return out
 
-    best = np.exp(_nelder_mead(evaluate, np.zeros(3)))
+    found, _ = minimise(evaluate, np.zeros(3))
+    best = np.exp(found)
     return {"p": float(best[0]), "q": float(best[1]), "v": float(best[2])}
 
 
 def customer_lifetime_value(base: DataFrame, bg: dict[str, float], gg: dict[str, float],
                             months: int = 6, discount_rate: float = 0.01,
+                            weeks: tuple[int, ...] = (12, 24),
                             frequency: str = "frequency", recency: str = "recency_weekly",
                             age: str = "t_weekly", monetary: str = "monetary_avg") -> DataFrame:
-    """Discounted value over ``months`` months of weekly data."""
+    """Expected purchases in each of ``weeks``. C10: discounted value over
+    ``months`` months of weekly data."""
     x, tx, T = F.col(frequency), F.col(recency), F.col(age)
     profit = ggamma_expected_profit(x, F.col(monetary), **gg)
     clv = F.lit(0.0)
@@ -220,8 +228,7 @@ def customer_lifetime_value(base: DataFrame, bg: dict[str, float], gg: dict[str,
         clv = clv + profit * (cur - prev) / (1 + discount_rate) ** i
         prev = cur
     return base.withColumns({
-        "exp_purchases_3m": bgnbd_expected_purchases(3 * WEEKS_PER_MONTH, x, tx, T, **bg),
-        "exp_purchases_6m": bgnbd_expected_purchases(6 * WEEKS_PER_MONTH, x, tx, T, **bg),
+        **{f"exp_purchases_{w}w": bgnbd_expected_purchases(float(w), x, tx, T, **bg) for w in weeks},
         "expected_average_profit": profit,
         "clv": clv,
     })
@@ -245,3 +252,11 @@ def cltv_pipeline(base: DataFrame, key: str, months: int = 6) -> DataFrame:
     ensure_checkpoint_dir(scored.sparkSession)
     scored = scored.checkpoint(eager=True)
     return qcut(scored, "scaled_clv", ["D", "C", "B", "A"], "cltv_segment")
+
+
+def cltv_profile(scored: DataFrame) -> DataFrame:
+    """C11/A3: customers, and mean and sum of the main figures, per value segment."""
+    figures = ["recency_weekly", "t_weekly", "frequency", "monetary_avg", "clv", "scaled_clv"]
+    return scored.groupBy("cltv_segment").agg(
+        F.count(F.lit(1)).alias("n_customers"), *[F.avg(c).alias(f"mean_{c}") for c in figures],
+        *[F.sum(c).alias(f"sum_{c}") for c in ("frequency", "clv")])

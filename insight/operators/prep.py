@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from insight.functions.order_stats import multi_quantiles
+from insight.session import ensure_checkpoint_dir
 
 
 # ----------------------------------------------------------------- outliers
@@ -106,19 +108,34 @@ def fill_absent(df: DataFrame, columns: Sequence[str], min_null_share: float = 0
 # ----------------------------------------------------------------- encoding
 def binary_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     """X11: non-numeric columns with exactly two distinct values."""
+    columns = [c for c in columns if not isinstance(df.schema[c].dataType, NumericType)]
+    if not columns:
+        return []
     row = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).first()
     return [c for c in columns if row[c] == 2]
 
 
 def label_encode(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
-    """Codes 0..k-1 in sorted order of the distinct values; null stays null."""
-    values = sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull())
-                    .distinct().collect())
-    expr = None
-    for i, v in enumerate(values):
-        cond = F.col(column) == F.lit(v)
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return df.withColumn(out or column, expr if expr is not None else F.lit(None).cast("int"))
+    """Codes 0..k-1 in sorted order of the distinct values; null stays null.
+
+    The codes are a table of distinct values, numbered over ranges: sorted
+    range partitions count their values, and each adds what lies before it.
+    The table is joined back without a hint, and no value passes the driver.
+    """
+    values = (df.select(F.col(column).alias("_v")).where(F.col("_v").isNotNull()).distinct()
+              .repartitionByRange("_v").withColumn("_p", F.spark_partition_id()))
+    ensure_checkpoint_dir(df.sparkSession)
+    values = values.checkpoint(eager=True)
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (values.groupBy("_p").agg(F.count(F.lit(1)).alias("_k"))  # one row per partition
+              .select("_p", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_start")))
+    within = F.row_number().over(Window.partitionBy("_p").orderBy("_v")) - 1
+    codes = values.withColumn("_i", within).join(starts, "_p").select("_v", (F.col("_i") + F.col("_start")).cast("int").alias("_code"))
+    name = out or column
+    joined = df.join(codes, F.col(column) == F.col("_v"), "left").drop("_v")
+    if name == column:
+        return joined.select(*[F.col("_code").alias(c) if c == column else F.col(c) for c in df.columns])
+    return joined.withColumnRenamed("_code", name)
 
 
 def rare_encode(df: DataFrame, columns: Sequence[str], rare_perc: float,

@@ -107,7 +107,7 @@ def missing_values_table(df: DataFrame, columns: Sequence[str] | None = None) ->
     total = df.agg(F.count(F.lit(1)).alias("_total"))
     return null_counts(df, columns).where(F.col("n_miss") > 0).crossJoin(
         F.broadcast(total)).select(
-        "column_name", "n_miss", F.round(F.col("n_miss") * 100.0 / F.col("_total"), 2).alias("ratio"))
+        "column_name", "n_miss", F.bround(F.col("n_miss") * F.lit(100.0) / F.col("_total"), 2).alias("ratio"))
 
 
 def missing_vs_target(df: DataFrame, target: str, na_columns: Sequence[str]) -> DataFrame:
@@ -203,6 +203,9 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
 
 
 def null_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Correlation of null indicators between columns that have nulls."""
+    """Correlation of null indicators between columns that have nulls
+    (columns without any, or with nothing but nulls, are left out)."""
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(c)).alias(c) for c in columns]).first()
+    columns = [c for c in columns if 0 < row[c] < row["_n"]]
     flags = df.select(*[F.col(c).isNull().cast("double").alias(c) for c in columns])
     return corr_matrix(flags, columns)

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from insight.session import ensure_checkpoint_dir
+
 
 def _pearson(a: Column, b: Column) -> Column:
     """Pearson correlation; null (not an ANSI error) when a side is constant."""
@@ -19,13 +21,21 @@ def _pearson(a: Column, b: Column) -> Column:
 
 
 def user_item_ratings(events: DataFrame, user: str, item: str, rating: str,
-                      min_item_ratings: int) -> DataFrame:
+                      min_item_ratings: int, when: str | None = None) -> DataFrame:
     """Mean rating per (user, item), for items with more than
-    ``min_item_ratings`` rating rows (rare items dropped by an anti-join)."""
-    counts = events.groupBy(item).agg(F.count(F.lit(1)).alias("_n"))
-    rare = counts.where(F.col("_n") <= min_item_ratings).select(item)
-    kept = events.join(rare, item, "left_anti")
-    return kept.groupBy(user, item).agg(F.avg(rating).alias("rating"))
+    ``min_item_ratings`` rating rows.
+
+    Events are aggregated once; the items' row counts are sums over that
+    table, which is checkpointed, so the events are read a single time however
+    often the ratings are used. With ``when``, ``last`` is the latest time.
+    """
+    ensure_checkpoint_dir(events.sparkSession)
+    more = [F.max(when).alias("last")] if when else []
+    pairs = events.groupBy(user, item).agg(F.avg(rating).alias("rating"), F.count(F.lit(1)).alias("_n"), *more)
+    pairs = pairs.checkpoint(eager=True)
+    rare = (pairs.groupBy(item).agg(F.sum("_n").alias("_all"))
+            .where(F.col("_all") <= min_item_ratings).select(item))
+    return pairs.drop("_n").join(rare, item, "left_anti")
 
 
 def most_active_user(ratings: DataFrame, user: str) -> DataFrame:
@@ -43,7 +53,7 @@ def user_based(ratings: DataFrame, user: str, item: str, target: DataFrame,
     mine = ratings.join(target, user).select(item, F.col("rating").alias("_t"))
     n_mine = mine.agg(F.count(F.lit(1)).alias("_nm"))
     others = ratings.join(target, user, "left_anti")
-    common = others.join(F.broadcast(mine), item)  # one user's items: bounded by the item table
+    common = others.join(mine, item)  # no hint: Spark broadcasts the side whose size it has checked
     stats = common.groupBy(user).agg(F.count(F.lit(1)).alias("_common"),
                                      _pearson(F.col("_t"), F.col("rating")).alias("corr"))
     top = (stats.crossJoin(F.broadcast(n_mine))
@@ -56,20 +66,20 @@ def user_based(ratings: DataFrame, user: str, item: str, target: DataFrame,
 
 
 def latest_top_item(ratings: DataFrame, user: str, item: str, target: DataFrame,
-                    when_col: str) -> DataFrame:
-    """The target's best-rated item, the most recent (then largest key) on ties."""
-    mine = ratings.join(target, user)
-    return mine.agg(F.max(F.struct("rating", when_col, item)).alias("_m")).select(
-        F.col(f"_m.{item}").alias(item))
+                    when_col: str, top_rating: float) -> DataFrame:
+    """The item the target rated ``top_rating`` (the best mark) most recently
+    (largest key on ties)."""
+    mine = ratings.join(target, user).where(F.col("rating") == F.lit(top_rating))
+    return mine.agg(F.max(F.struct(when_col, item)).alias("_m")).select(F.col(f"_m.{item}").alias(item))
 
 
 def item_based(ratings: DataFrame, user: str, item: str, target_item: DataFrame,
-               top_n: int = 5, min_common: int = 3) -> DataFrame:
+               top_n: int = 5) -> DataFrame:
     """Items most correlated (over users who rated both) with the target
     item, the item itself excluded (quirk Q9 fixed)."""
     col_t = ratings.join(target_item, item).select(user, F.col("rating").alias("_t"))
     others = ratings.join(target_item, item, "left_anti")
     stats = others.join(col_t, user).groupBy(item).agg(
-        F.count(F.lit(1)).alias("_n"), _pearson(F.col("_t"), F.col("rating")).alias("corr"))
-    return (stats.where((F.col("_n") >= min_common) & F.col("corr").isNotNull())
+        _pearson(F.col("_t"), F.col("rating")).alias("corr"))
+    return (stats.where(F.col("corr").isNotNull())
                  .orderBy(F.col("corr").desc(), item).limit(top_n).select(item, "corr"))

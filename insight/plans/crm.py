@@ -243,8 +243,44 @@ def q_cltv_score(spark, sf_dir):
     discounted value, scale to 1..100 and cut into quartile segments D..A."""
     b = _cltv_base(spark, sf_dir)
     scored = cltv.cltv_pipeline(b, "customer_id", months=6)
-    return scored.select("customer_id", r("exp_purchases_3m").alias("exp_purchases_3m"),
-                         r("exp_purchases_6m").alias("exp_purchases_6m"),
+    return scored.select("customer_id", r("exp_purchases_12w").alias("exp_purchases_12w"),
+                         r("exp_purchases_24w").alias("exp_purchases_24w"),
                          r("expected_average_profit", 4).alias("expected_average_profit"),
                          r("clv", 4).alias("clv"), r("scaled_clv").alias("scaled_clv"),
                          "cltv_segment")
+
+
+@query("cltv_segment_profile")
+def q_cltv_segment_profile(spark, sf_dir):
+    """C11/A3: what the value segments of ``cltv_score`` look like."""
+    return cltv.cltv_profile(cltv.cltv_pipeline(_cltv_base(spark, sf_dir), "customer_id", months=6))
+
+
+_STRING_SCORES = _SCORES_CTE.replace("o_custkey AS customer_id", "'C' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS customer_id"
+                                     ).replace("FROM orders GROUP BY o_custkey)", "FROM orders GROUP BY o_custkey)")
+
+
+@query("rfm_string_keys", sql=f"""WITH {_STRING_SCORES}
+SELECT customer_id, CAST(recency_score AS INT) AS recency_score, CAST(frequency_score AS INT) AS frequency_score,
+       CAST(monetary_score AS INT) AS monetary_score FROM scored""")
+def q_rfm_string_keys(spark, sf_dir):
+    """C2/W1 on text customer ids: ties of the first-rank are broken by the text."""
+    m = _rfm(spark, sf_dir).withColumn(
+        "customer_id", F.concat(F.lit("C"), F.lpad(F.col("customer_id").cast("string"), 9, "0")))
+    s = rfm.rfm_scores(m, "customer_id")
+    return s.select("customer_id", "recency_score", "frequency_score", "monetary_score")
+
+
+@query("campaign_list_2", sql=f"""WITH {_SCORES_CTE}
+SELECT s.customer_id, s.segment, c.c_mktsegment AS channel
+FROM segmented s JOIN customer c ON c.c_custkey = s.customer_id
+WHERE s.segment IN ('cant_loose', 'hibernating', 'new_customers')
+  AND (contains(c.c_mktsegment, 'HOUSE') OR contains(c.c_mktsegment, 'FURN'))""")
+def q_campaign_list_2(spark, sf_dir):
+    """C12, second list: lapsed and new customers with an interest in either of two channels."""
+    t = Tables(spark, sf_dir)
+    seg = _segmented(spark, sf_dir).join(t.customer.select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("channel")), "customer_id")
+    names = ["cant_loose", "hibernating", "new_customers"]
+    lists = [rfm.campaign_audience(seg, names, "channel", [term]) for term in ("HOUSE", "FURN")]
+    return lists[0].unionByName(lists[1]).select("customer_id", "segment", "channel").distinct()

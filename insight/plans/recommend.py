@@ -57,18 +57,18 @@ def q_user_recs(spark, sf_dir):
 
 
 @query("item_recs", sql=f"""WITH {_R},
-ti AS (SELECT arg_max(item, (rating, last_d, item)) AS item FROM ratings JOIN target USING (user_id)),
+ti AS (SELECT arg_max(item, (last_d, item)) AS item FROM ratings JOIN target USING (user_id)
+  WHERE rating = (SELECT max(rating) FROM ratings JOIN target USING (user_id))),
 col AS (SELECT user_id, rating AS t FROM ratings WHERE item = (SELECT item FROM ti)),
 st AS (SELECT item, count(*) AS n, corr(t, rating) AS c FROM ratings JOIN col USING (user_id)
   WHERE item <> (SELECT item FROM ti) GROUP BY item)
-SELECT item, round(c, 6) AS corr FROM st WHERE n >= 3 AND c IS NOT NULL AND NOT isnan(c)
+SELECT item, round(c, 6) AS corr FROM st WHERE c IS NOT NULL AND NOT isnan(c)
 ORDER BY c DESC, item LIMIT 5""")
 def q_item_recs(spark, sf_dir):
-    ev = _events(spark, sf_dir)
-    kept = R.user_item_ratings(ev, "user_id", "item", "l_quantity", MIN_ITEM_RATINGS)
-    last = ev.groupBy("user_id", "item").agg(F.max("o_orderdate").alias("last_d"))
-    ratings = kept.join(last, ["user_id", "item"])
+    ratings = R.user_item_ratings(_events(spark, sf_dir), "user_id", "item", "l_quantity",
+                                  MIN_ITEM_RATINGS, "o_orderdate")
     target = R.most_active_user(ratings, "user_id")
-    ti = R.latest_top_item(ratings, "user_id", "item", target, "last_d")
+    best = ratings.join(target, "user_id").agg(F.max("rating").alias("b")).first()["b"]
+    ti = R.latest_top_item(ratings, "user_id", "item", target, "last", best)
     rec = R.item_based(ratings.select("user_id", "item", "rating"), "user_id", "item", ti, 5)
     return rec.select("item", r("corr").alias("corr"))
