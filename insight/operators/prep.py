@@ -156,16 +156,14 @@ def rare_encode(df: DataFrame, columns: Sequence[str], rare_perc: float,
     return out
 
 
-def one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = False,
-            max_values: int = 1000) -> DataFrame:
+def one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = False) -> DataFrame:
     """0/1 columns ``<col>_<value>`` for sorted distinct values; a null row
-    gets all zeros. The value list is one small metadata job."""
+    gets all zeros. One metadata job finds the values of all columns; they
+    become columns of the result, so they are as many as a schema may hold."""
+    sets = df.agg(*[F.collect_set(c).alias(f"_{i}") for i, c in enumerate(columns)]).first()
     out = df
-    for c in columns:
-        values = sorted(r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct()
-                        .limit(max_values + 1).collect())
-        if len(values) > max_values:
-            raise ValueError(f"{c}: more than {max_values} distinct values")
+    for i, c in enumerate(columns):
+        values = sorted(sets[f"_{i}"])
         keep = values[1:] if drop_first else values
         out = out.withColumns({f"{c}_{v}": F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0))
                                for v in keep}).drop(c)
@@ -217,16 +215,31 @@ def bin_fixed(x: str, edges: Sequence[float], labels: Sequence[str]) -> Column:
 
 
 def near_constant_columns(df: DataFrame, columns: Sequence[str], min_share: float = 0.01) -> list[str]:
-    """Binary columns where one value's share is below ``min_share``."""
-    total = df.count()
-    row = df.agg(*[F.min(F.col(c)).alias(f"{c}__lo") for c in columns],
-                 *[F.count_if(F.col(c) == 1).alias(f"{c}__ones") for c in columns]).first()
-    out = []
-    for c in columns:
-        ones = row[f"{c}__ones"] / total if total else 0
-        if min(ones, 1 - ones) < min_share:
-            out.append(c)
-    return out
+    """0/1 columns where one value's share of all rows is below ``min_share``, one aggregate."""
+    row = df.agg(F.count(F.lit(1)).alias("_n"),
+                 *[F.count_if(F.col(c) == 1).alias(f"_ones{i}") for i, c in enumerate(columns)]).first()
+    if not row["_n"]:
+        return list(columns)
+    shares = [row[f"_ones{i}"] / row["_n"] for i in range(len(columns))]
+    return [c for c, ones in zip(columns, shares) if min(ones, 1 - ones) < min_share]
+
+
+def categorize(rules: Sequence[tuple[Column, str]], default: str | None = None) -> Column:
+    """The label of the first condition that holds; conditions may use several columns."""
+    expr = None
+    for condition, label in rules:
+        expr = F.when(condition, F.lit(label)) if expr is None else expr.when(condition, F.lit(label))
+    return expr.otherwise(F.lit(default)) if expr is not None else F.lit(default)
+
+
+def parse_dates(df: DataFrame, columns: Sequence[str], fmt: str = "yyyy-MM-dd") -> DataFrame:
+    """Text columns to dates; text that is no date becomes null."""
+    return df.withColumns({c: F.try_to_timestamp(F.col(c), F.lit(fmt)).cast("date") for c in columns})
+
+
+def name_contains(df: DataFrame, part: str) -> list[str]:
+    """P5: columns whose name contains ``part`` (any case)."""
+    return [c for c in df.columns if part.lower() in c.lower()]
 
 
 def first_description(df: DataFrame, code_col: str, desc_col: str, order_col: str) -> DataFrame:

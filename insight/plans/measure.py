@@ -132,14 +132,12 @@ def q_two_prop_z(spark, sf_dir):
 @query("ab_test")
 def q_ab_test(spark, sf_dir):
     """M9-M11 with p-values: statistics from Spark, p from a few scalars."""
-    o = Tables(spark, sf_dir).orders
     t = q_t_test_stat(spark, sf_dir).first()
     w = q_levene_stat(spark, sf_dir).first()
     z = q_two_prop_z(spark, sf_dir).first()
     rows = [("t_test", float(t["t_stat"]), M.t_two_sided_p(t["t_stat"], t["dof"])),
             ("levene", float(w["w_stat"]), M.f_upper_p(w["w_stat"], w["df1"], w["df2"])),
             ("two_prop_z", float(z["z_stat"]), M.normal_two_sided_p(z["z_stat"]))]
-    del o
     return spark.createDataFrame(rows, "test string, statistic double, p_value double")
 
 

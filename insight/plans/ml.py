@@ -9,6 +9,7 @@ from insight.operators import ml as L
 from insight.operators import prep as X
 from insight.plans import crm
 from insight.plans.registry import query, r
+from insight.session import ensure_checkpoint_dir
 from insight.sources import Tables
 
 _REG_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"]
@@ -54,10 +55,28 @@ def q_gbt_regression(spark, sf_dir):
         rmse.select(r("rmse").alias("test_rmse")))
 
 
+@query("gbt_top_features")
+def q_gbt_top_features(spark, sf_dir):
+    """Refit on the three strongest features; test RMSE of both models and
+    the split counts (L10) of the full one."""
+    ensure_checkpoint_dir(spark)
+    d = _reg_data(spark, sf_dir).checkpoint(eager=True)
+    train, test = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
+    full = L.fit_gbt(train, _REG_FEATURES, "l_extendedprice", max_iter=20, max_depth=4)
+    top = L.top_features(full, _REG_FEATURES, 3)
+    small = L.fit_gbt(train, top, "l_extendedprice", max_iter=20, max_depth=4)
+    rmse = [L.regression_metrics(m.transform(L.assemble(test, f)), "l_extendedprice").first()["rmse"]
+            for m, f in ((full, _REG_FEATURES), (small, top))]
+    return L.split_counts(spark, full, _REG_FEATURES).select(
+        "feature", "splits", F.col("feature").isin(top).alias("kept"),
+        F.lit(rmse[0]).alias("rmse_all"), F.lit(rmse[1]).alias("rmse_top"))
+
+
 @query("grid_search")
 def q_grid_search(spark, sf_dir):
     """3-fold cross-validated grid (2 x 2) with mean RMSE per point."""
-    d = _reg_data(spark, sf_dir).where(F.col("split") == "train")
+    ensure_checkpoint_dir(spark)  # the joined table is made once, not for every fit
+    d = _reg_data(spark, sf_dir).where(F.col("split") == "train").checkpoint(eager=True)
     cv = L.cross_validate(d, _REG_FEATURES, "l_extendedprice", folds=3,
                           grid={"maxDepth": [2, 4], "maxIter": [5, 10]})
     rows = []
@@ -86,20 +105,27 @@ def _rfm_scaled(spark, sf_dir):
     return X.minmax_scale(m, ["recency", "frequency", "monetary"])
 
 
+_RFM = ["recency", "frequency", "monetary"]
+
+
 @query("kmeans")
 def q_kmeans(spark, sf_dir):
-    """K-means on scaled RFM, 1-based labels, per-cluster profile."""
-    data = _rfm_scaled(spark, sf_dir)
-    model = L.kmeans(data, ["recency", "frequency", "monetary"], k=4)
-    lab = model.transform(L.assemble(data, ["recency", "frequency", "monetary"])).withColumn(
+    """K from the knee over 2..20, k-means on scaled RFM, 1-based
+    labels, per-cluster profile."""
+    ensure_checkpoint_dir(spark)
+    data = _rfm_scaled(spark, sf_dir).checkpoint(eager=True)
+    k = next(k for k, _, knee in L.elbow(data, _RFM, range(2, 21)) if knee)
+    lab = L.kmeans(data, _RFM, k=k).transform(L.assemble(data, _RFM)).withColumn(
         "cluster", F.col("prediction") + 1)
-    return L.cluster_profile(lab, "cluster", ["recency", "frequency", "monetary"])
+    return L.cluster_profile(lab, "cluster", _RFM)
 
 
 @query("elbow")
 def q_elbow(spark, sf_dir):
-    """Inertia for k = 1..8 and the knee."""
-    rows = L.elbow(_rfm_scaled(spark, sf_dir), ["recency", "frequency", "monetary"], range(1, 9))
+    """Inertia for k = 1..29 and the knee over k >= 2."""
+    ensure_checkpoint_dir(spark)
+    data = _rfm_scaled(spark, sf_dir).checkpoint(eager=True)
+    rows = L.elbow(data, _RFM, range(1, 30), knee_from=2)
     return spark.createDataFrame(rows, "k int, inertia double, knee boolean")
 
 

@@ -234,3 +234,53 @@ def q_minmax_inverse(spark, sf_dir):
     scaled = X.minmax_scale(p, ["p_retailprice"])
     back = X.minmax_inverse(scaled, {"p_retailprice": (lim["lo"], lim["hi"])})
     return back.select("p_partkey", r("p_retailprice").alias("p_retailprice"))
+
+
+@query("conditional_category", sql="""SELECT c_custkey, CASE
+  WHEN c_acctbal < 0 AND c_mktsegment = 'BUILDING' THEN 'builder_in_debt'
+  WHEN c_acctbal < 0 THEN 'in_debt'
+  WHEN c_acctbal >= 5000 AND c_nationkey < 10 THEN 'rich_near'
+  WHEN c_acctbal >= 5000 THEN 'rich_far' ELSE 'usual' END AS category FROM customer""")
+def q_conditional_category(spark, sf_dir):
+    """A category from conditions over several columns."""
+    c = Tables(spark, sf_dir).customer
+    debt, rich = F.col("c_acctbal") < 0, F.col("c_acctbal") >= 5000
+    label = X.categorize([(debt & (F.col("c_mktsegment") == "BUILDING"), "builder_in_debt"), (debt, "in_debt"),
+                          (rich & (F.col("c_nationkey") < 10), "rich_near"), (rich, "rich_far")], "usual")
+    return c.select("c_custkey", label.alias("category"))
+
+
+@query("text_to_date", sql="""SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS day
+FROM orders""")
+def q_text_to_date(spark, sf_dir):
+    """Dates kept as text, some of them broken."""
+    o = Tables(spark, sf_dir).orders
+    text = F.when(F.col("o_orderkey") % 97 == 0, F.lit("no date")).otherwise(F.date_format("o_orderdate", "dd/MM/yyyy"))
+    return X.parse_dates(o.select("o_orderkey", text.alias("day")), ["day"], "dd/MM/yyyy")
+
+
+@query("near_constant", sql="""WITH s AS (SELECT count(*) AS n, count(*) FILTER (l_quantity > 49) AS a,
+  count(*) FILTER (l_quantity > 0) AS b, count(*) FILTER (l_discount > 0.05) AS c FROM lineitem),
+l AS (SELECT 'top_quantity' AS column_name, a / n AS share FROM s UNION ALL SELECT 'any_quantity', b / n FROM s
+  UNION ALL SELECT 'discounted', c / n FROM s)
+SELECT column_name FROM l WHERE least(share, 1 - share) < 0.03""")
+def q_near_constant(spark, sf_dir):
+    """Flags that are almost always the same."""
+    flags = Tables(spark, sf_dir).lineitem.select(
+        (F.col("l_quantity") > 49).cast("int").alias("top_quantity"), (F.col("l_quantity") > 0).cast("int").alias("any_quantity"),
+        (F.col("l_discount") > 0.05).cast("int").alias("discounted"))
+    found = X.near_constant_columns(flags, flags.columns, 0.03)
+    return spark.createDataFrame([(c,) for c in found], "column_name string")
+
+
+@query("label_outlier_rows", sql="""WITH q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1,
+  quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem)
+SELECT l_orderkey, l_linenumber FROM lineitem, q
+WHERE l_extendedprice > q3 + 0.25 * (q3 - q1) OR l_extendedprice < q1 - 0.25 * (q3 - q1)""")
+def q_label_outlier_rows(spark, sf_dir):
+    """X3 with limits a quarter of an interquartile range out, which some rows exceed."""
+    li = Tables(spark, sf_dir).lineitem
+    lo, hi = X.outlier_thresholds(li, ["l_extendedprice"], 0.25, 0.75)["l_extendedprice"]
+    iqr = (hi - lo) / 4  # the limits lie 1.5 ranges out on each side of one range
+    near = (lo + 1.25 * iqr, hi - 1.25 * iqr)
+    return X.outlier_rows(li, "l_extendedprice", near).select("l_orderkey", "l_linenumber")

@@ -238,3 +238,33 @@ def q_group_stats(spark, sf_dir):
     return base.join(med, "l_suppkey").select(
         "l_suppkey", r("s").alias("sum_qty"), r("m").alias("mean_qty"),
         r(F.col("_q")[0]).alias("median_qty"), r("sd").alias("std_qty"))
+
+
+_LNUM = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+@query("high_corr_lines", sql="WITH c AS (" + _corr_sql(_LNUM, "lineitem") + """),
+pos AS (SELECT * FROM (VALUES ('l_quantity', 0), ('l_extendedprice', 1), ('l_discount', 2)) v(name, i))
+SELECT DISTINCT col_b AS column_name FROM c JOIN pos pa ON pa.name = c.col_a
+JOIN pos pb ON pb.name = c.col_b WHERE pa.i < pb.i AND abs(corr) > 0.002""")
+def q_high_corr_lines(spark, sf_dir):
+    """D13 where columns are reported: line figures above a low limit."""
+    return P.high_correlated_cols(Tables(spark, sf_dir).lineitem, _LNUM, 0.002)
+
+
+_OCOLS = ["o_orderstatus", "o_orderpriority", "o_custkey"]
+
+
+@query("distinct_diff_orders", sql="WITH a AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_a FROM orders WHERE o_orderdate < DATE '1996-01-01'"
+    for c in _OCOLS) + "), b AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_b FROM orders WHERE o_orderdate >= DATE '1996-01-01'"
+    for c in _OCOLS) + """)
+SELECT a.column_name, CAST(n_a AS BIGINT) AS n_a, CAST(n_b AS BIGINT) AS n_b FROM a JOIN b USING (column_name)
+WHERE n_a <> n_b""")
+def q_distinct_diff_orders(spark, sf_dir):
+    """D14 where counts differ: columns of early and late orders."""
+    o = Tables(spark, sf_dir).orders
+    cut = F.lit("1996-01-01").cast("timestamp")
+    d = P.distinct_count_diff(o.where(F.col("o_orderdate") < cut), o.where(F.col("o_orderdate") >= cut), _OCOLS)
+    return d.select("column_name", i64("n_a").alias("n_a"), i64("n_b").alias("n_b"))

@@ -48,7 +48,6 @@ def load_all() -> None:
         crm,
         measure,
         ml,
-        neighbors,
         prep,
         profile,
         recommend,

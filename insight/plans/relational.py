@@ -103,3 +103,12 @@ def q_kth_smallest(spark, sf_dir):
     found = _locate_groups(counts, "o_totalprice", lambda g, n: [4])
     v = found["v"][1][4][0]
     return spark.range(1).select(r(F.lit(v)).alias("threshold"))
+
+
+@query("anti_join_orders", sql="""SELECT o_orderkey FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l
+WHERE l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'R')""")
+def q_anti_join_orders(spark, sf_dir):
+    """Orders without a returned line."""
+    t = Tables(spark, sf_dir)
+    returned = t.lineitem.where(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    return t.orders.select("o_orderkey").join(returned, "o_orderkey", "left_anti")

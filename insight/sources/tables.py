@@ -41,9 +41,14 @@ class Tables:
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str,
              header: bool = True, date_format: str | None = None,
-             timestamp_format: str | None = None) -> DataFrame:
-    """CSV scan with an explicit schema; malformed cells become null."""
-    reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
+             timestamp_format: str | None = None, bad_rows: str | None = None) -> DataFrame:
+    """CSV scan with an explicit schema. A malformed cell raises; with
+    ``bad_rows`` it becomes null and that extra column holds the row's text."""
+    reader = spark.read.option("header", header).option("mode", "PERMISSIVE" if bad_rows else "FAILFAST")
+    if bad_rows:
+        ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        schema = f"{ddl}, `{bad_rows}` string"
+        reader = reader.option("columnNameOfCorruptRecord", bad_rows)
     if date_format:
         reader = reader.option("dateFormat", date_format)
     if timestamp_format:

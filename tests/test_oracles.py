@@ -7,7 +7,9 @@ from tests.oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
 load_all()
-SLOW = {"cltv_score", "grid_search", "elbow", "ab_test", "forecast"}
+#: Queries whose limits no row of the small tables exceeds; each has a counterpart that is not empty.
+EMPTY = {"high_corr", "distinct_diff", "outlier_rows", "anti_join", "user_recs"}
+SLOW = {"grid_search"}
 
 
 @pytest.fixture(scope="module")
@@ -19,4 +21,6 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     status, n, _, msg = compare(spark, con, name, QUERIES[name], ORACLES.get(name), SF)
     assert status in ("OK", "ROWS"), msg
-    assert n >= 0
+    if name in EMPTY:
+        return
+    assert n > 0
