@@ -9,12 +9,16 @@ postings of either (one rarity order for all: count, then value). Only these
 prefixes are joined; the frequent postings are skipped, and counted only for
 pairs that meet in a prefix, by comparing the signatures.
 
-Groups of thousands of near copies are not enumerated: first every member of a
-posting list meets a few hubs of the list, and links that hold join classes to
-components. Then only pairs of different components meet, each once (in their
-least common posting). So every link between components is found, and none is
-looked for inside one. Links are confirmed on the full sets, read again from
-the texts of the documents that need it.
+Groups of thousands of near copies are not enumerated as pairs: first every
+member of a posting list meets a few hubs of the list. What meets a hub and
+agrees with it in enough coordinates is a cluster; what is confirmed is joined
+to components. Two steps then cover all that is left: inside a cluster, the
+members outside its largest component are compared with all members, tile by
+tile, and only links come out; between clusters, pairs that share a prefix
+posting are made, each once (in their least common posting), by letting the
+members outside a list's largest cluster meet all others. So no link between
+components is missed, and none is looked for inside one. Links are confirmed on
+the full sets, read again from the texts of the documents that need it.
 
 Defined cases: null, empty and white-space texts have the empty set, link with
 nothing and stay; texts with fewer words than a shingle have one shingle, the
@@ -26,9 +30,9 @@ rows. Only id and text are read. Long texts are hashed in parts.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -43,8 +47,11 @@ COORDINATES = 48
 MATCHES = 24
 #: Links need NUM * |union| <= DEN * |intersection|.
 NUM, DEN = 80, 100
-#: Hubs that a member of a posting list meets in a round, and rounds before all other pairs meet.
-HUBS, ROUNDS = 3, 2
+#: Hubs that a member of a posting list meets.
+HUBS = 4
+#: Nodes, and bytes of their sets, in a tile of a cluster.
+TILE_NODES, TILE_BYTES = 512, 16 << 20
+SALTS = 32
 _RNG = np.random.Generator(np.random.PCG64(20_260_101))
 ODD = _RNG.integers(1, 1 << 62, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -130,18 +137,20 @@ def prefixes(classes: DataFrame) -> DataFrame:
     """(elem, node, n, sketch): each node's rarest postings, those that no other node has left out.
 
     A node's postings that are its own are its rarest; they use up places of
-    its prefix but can meet nobody.
+    its prefix but can meet nobody. Postings are ranked under a short hash of
+    the node, as they are by far the most rows of the whole join.
     """
-    posted = classes.select("node", F.explode("sig").alias("elem"))
+    short = F.xxhash64("node").alias("short")
+    posted = classes.select(short, F.explode("sig").alias("elem"))
     shared = posted.groupBy("elem").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     held = posted.join(shared, "elem")
     # all postings - shared ones = own ones; the prefix has COORDINATES - MATCHES + 1 places
-    mine = W.partitionBy("node")
+    mine = W.partitionBy("short")
     kept = (held.withColumn("rank", F.row_number().over(mine.orderBy("df", "elem")))
             .withColumn("shared", F.count(F.lit(1)).over(mine))
             .filter(F.col("rank") + COORDINATES - F.col("shared") <= COORDINATES - MATCHES + 1)
-            .select("node", "elem"))
-    return kept.join(classes.select("node", "n", "sketch"), "node")
+            .select("short", "elem"))
+    return kept.join(classes.select(short, "node", "n", "sketch"), "short").drop("short")
 
 
 def similar_size(a: str, b: str) -> F.Column:
@@ -162,33 +171,26 @@ def colliding(pairs: DataFrame) -> DataFrame:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
-def with_labels(posts: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Postings with the component their node is in so far."""
-    if labels is None:
-        return posts.withColumn("label", F.col("node"))
-    return (posts.join(labels, "node", "left").withColumn("label", F.coalesce("comp", "node")).drop("comp"))
-
-
-def hub_pairs(posts: DataFrame, seeds: range) -> DataFrame:
-    """Each member of a list against the list's hubs (least by seeded hash), if in other components."""
+def hub_pairs(posts: DataFrame) -> DataFrame:
+    """Each member of a list against the list's hubs, the members least by seeded hashes."""
     def hub(seed: int) -> F.Column:
-        return F.min(F.struct(F.xxhash64(F.lit(seed), "node").alias("h"), "node", "label", "n", "sketch"))
+        return F.min(F.struct(F.xxhash64(F.lit(seed), "node").alias("h"), "node", "n", "sketch"))
 
-    hubs = posts.groupBy("elem").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                     *[hub(s).alias(f"hub{s}") for s in seeds]).filter("lo <> hi")
-    met = posts.join(hubs.select("elem", F.array(*[f"hub{s}" for s in seeds]).alias("hubs")), "elem")
-    met = met.select("node", "label", "n", "sketch", F.explode(F.array_distinct("hubs")).alias("hub"))
-    met = met.select("node", "label", "n", "sketch", F.col("hub.node").alias("other"), F.col("hub.label").alias("other_label"),
-                     F.col("hub.n").alias("other_n"), F.col("hub.sketch").alias("other_sketch"))
-    return met.filter((F.col("label") != F.col("other_label")) & similar_size("n", "other_n"))
+    hubs = posts.groupBy("elem").agg(F.count(F.lit(1)).alias("size"), *[hub(s).alias(f"hub{s}") for s in range(HUBS)])
+    hubs = hubs.filter("size > 1").select("elem", F.array(*[f"hub{s}" for s in range(HUBS)]).alias("hubs"))
+    met = posts.join(hubs, "elem").select("node", "n", "sketch", F.explode(F.array_distinct("hubs")).alias("hub"))
+    met = met.select("node", "n", "sketch", F.col("hub.node").alias("other"), F.col("hub.n").alias("other_n"),
+                     F.col("hub.sketch").alias("other_sketch"))
+    return met.filter((F.col("node") != F.col("other")) & similar_size("n", "other_n"))
 
 
-def cross_pairs(posts: DataFrame) -> DataFrame:
-    """All pairs of a list that are in different components, each pair in its least common posting only.
+def cross_pairs(posts: DataFrame, labels: DataFrame) -> DataFrame:
+    """All pairs of a list that have different labels, each pair in its least common posting only.
 
-    Per list, the members outside its largest component meet all others, so a
-    component of any size is never paired with itself.
+    Per list, the members outside its largest label meet all others, so the
+    nodes of a label, however many, are never paired with each other.
     """
+    posts = posts.join(labels, "node", "left").withColumn("label", F.coalesce("comp", "node")).drop("comp")
     sizes = posts.groupBy("elem", "label").agg(F.count(F.lit(1)).alias("size"))
     mixed_lists = (sizes.groupBy("elem").agg(F.max(F.struct("size", "label")).alias("top"), F.count(F.lit(1)).alias("n_labels"))
                    .filter("n_labels > 1").select("elem", F.col("top.label").alias("top")))
@@ -207,9 +209,10 @@ def cross_pairs(posts: DataFrame) -> DataFrame:
 
 
 def texts_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """(node, words): the compressed words of one document of each node."""
-    wanted = nodes.join(classes.select("node", "first_id"), "node")
-    found = docs.join(wanted, docs[docs.columns[0]] == wanted["first_id"]).select("node", docs.columns[1])
+    """(node, words): the compressed words of one document of each node (of more, if its id repeats)."""
+    wanted = classes.select("node", "first_id").join(nodes, "node", "left_semi")
+    found = docs.join(wanted, docs["doc_id"] == wanted["first_id"]).withColumn("print", F.xxhash64("text"))
+    found = found.dropDuplicates(["first_id", "node", "print"])  # dealt by id already: no shuffle
 
     def run(batch: pa.RecordBatch) -> dict:
         nodes, words = [], []
@@ -220,7 +223,7 @@ def texts_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, width: int)
                 words.append(zstandard.compress(data, 3))
         return {"node": pa.array(nodes, pa.binary()), "words": pa.array(words, pa.binary())}
 
-    return arrow_map(found, run, "node binary, words binary").dropDuplicates(["node"])
+    return arrow_map(found.select("node", "text"), run, "node binary, words binary")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
@@ -246,58 +249,121 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return full.select("a", "b", "a_words", "b_words").mapInArrow(run, "a binary, b binary")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, comp) of all linked nodes; comp is the least node. Large and small stars in turn.
+def cluster_tiles(members: DataFrame) -> DataFrame:
+    """(node, comp, cluster, n, sketch) -> the two sides to compare, dealt to tiles (cluster, i, j).
+
+    ``minor`` rows are the nodes outside their cluster's largest component, the
+    others all nodes of clusters with more than one component. Tiles are
+    bounded in nodes and bytes, whatever the size of a cluster.
+    """
+    sizes = members.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
+    size, shingles = F.col("size"), F.col("shingles")
+
+    def tiles(count: F.Column, total: F.Column) -> F.Column:
+        return F.greatest(F.ceil(count / TILE_NODES), F.ceil(total * 8 / TILE_BYTES)).cast("int")
+
+    top = sizes.groupBy("cluster").agg(
+        F.max(F.struct("size", "comp", "shingles")).alias("top"), F.sum("size").alias("all"), F.sum("shingles").alias("total"),
+        F.count(F.lit(1)).alias("comps")).filter("comps > 1")
+    top = top.select("cluster", F.col("top.comp").alias("top"), tiles(F.col("all"), F.col("total")).alias("right_tiles"),
+                     tiles(F.col("all") - F.col("top.size"), F.col("total") - F.col("top.shingles")).alias("left_tiles"))
+    # a cluster may hold a third of all nodes: its nodes meet its row of figures under SALTS keys
+    place = F.xxhash64("node")
+    salted = top.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    open_nodes = members.withColumn("salt", F.pmod(place, F.lit(SALTS)).cast("int")).join(salted, ["cluster", "salt"])
+
+    def dealt(minor: bool, own: str, other: str, own_tiles: str, other_tiles: str) -> DataFrame:
+        rows = open_nodes.filter("comp <> top") if minor else open_nodes
+        return rows.select("cluster", "node", "comp", "top", "n", "sketch", F.lit(minor).alias("minor"),
+                           F.pmod(place, F.col(own_tiles)).cast("int").alias(own),
+                           F.explode(F.sequence(F.lit(0), F.col(other_tiles) - 1)).alias(other))
+
+    return dealt(True, "i", "j", "left_tiles", "right_tiles").unionByName(
+        dealt(False, "j", "i", "right_tiles", "left_tiles"))
+
+
+def links_in_clusters(members: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(a, b) confirmed between different components of a cluster. ``members`` as of ``cluster_tiles``."""
+    def run(tile: pd.DataFrame) -> pd.DataFrame:
+        minor, all_ = tile[tile["minor"]], tile[~tile["minor"]]
+        known: dict[bytes, np.ndarray] = {}
 
-    Every round cuts each node's neighbours over to the least of them; edges
-    are written each round, and the rounds end when the edges stay the same.
+        def set_of(row) -> np.ndarray:
+            if row.node not in known:
+                known[row.node] = shingle_set(zstandard.decompress(row.words), width)
+            return known[row.node]
+
+        others = list(all_.itertuples(index=False))
+        sketches = np.frombuffer(b"".join(all_["sketch"]), np.uint8).reshape(-1, COORDINATES)
+        n = all_["n"].to_numpy()
+        found = []
+        for row in minor.itertuples(index=False):
+            agree = (sketches == np.frombuffer(row.sketch, np.uint8)).sum(axis=1) >= MATCHES
+            alike = DEN * np.minimum(n, row.n) >= NUM * np.maximum(n, row.n)
+            for k in np.flatnonzero(agree & alike):
+                other = others[k]
+                # two nodes outside the largest component meet twice
+                if other.comp != row.comp and (other.comp == row.top or row.node < other.node) \
+                        and linked(set_of(row), set_of(other)):
+                    found.append((min(row.node, other.node), max(row.node, other.node)))
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return cluster_tiles(members).join(texts, "node").groupBy("cluster", "i", "j").applyInPandas(run, "a binary, b binary")
+
+
+def forest(edges: DataFrame) -> DataFrame:
+    """Edges (u, v), u > v, of any graph to edges from each node to the least node of its component.
+
+    Large and small stars in turn: every round cuts each node's neighbours
+    over to the least of them. Edges are written each round, and the rounds end
+    when each node has one edge and no node is at both ends.
     """
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(small.unionByName(low.withColumnRenamed("m", "v")).distinct(), "edges")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if now == state:
-            break
-        state = now
+        small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(
+            F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
+        edges = written(small.filter("u <> v").distinct(), "edges")
+        ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                                              F.struct(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("e"))
+        loose = ends.groupBy("e.x").agg(F.sum("e.up").alias("up"), F.max("e.down").alias("down")).filter("up + down > 1")
+        if loose.isEmpty():
+            return edges
+
+
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(u, v) from each node linked by (a, b), or by edges known before, to its component's least node."""
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    return forest(edges.unionByName(known) if known is not None else edges)
+
+
+def labels_of(edges: DataFrame) -> DataFrame:
+    """(node, comp) of a forest's nodes, roots included."""
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
-def all_links(classes: DataFrame, docs: DataFrame, width: int) -> DataFrame | None:
-    """(node, comp) of the classes that link with others, or None."""
+def all_links(classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(node, comp) of the classes that link with others."""
     posts = written(prefixes(classes), "postings")
-    links: list[DataFrame] = []
-    labels = texts = None
-
-    def add(pairs: DataFrame) -> bool:
-        new = written(confirmed(pairs, texts, width), "links")
-        if new.isEmpty():
-            return False
-        links.append(new)
-        return True
 
     def nodes(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-
-    for r in range(ROUNDS):
-        pairs = written(colliding(hub_pairs(with_labels(posts, labels), range(r * HUBS, (r + 1) * HUBS))), "hub-pairs")
-        if texts is None:
-            texts = written(texts_of(nodes(pairs), classes, docs, width), "texts")
-        if not add(pairs):
-            break
-        labels = written(components(reduce(DataFrame.unionByName, links)), "labels")
-    pairs = written(colliding(cross_pairs(with_labels(posts, labels))), "cross-pairs")
+        return pairs.select(F.explode(F.array("a", "b")).alias("node"))
+
+    pairs = written(colliding(hub_pairs(posts)), "hub-pairs")
+    texts = written(texts_of(nodes(pairs), classes, docs, width), "texts")
+    edges = components(written(confirmed(pairs, texts, width), "hub-links"))
+    clusters = labels_of(components(pairs, edges))
+    members = (clusters.select("node", F.col("comp").alias("cluster")).join(labels_of(edges), "node", "left")
+               .withColumn("comp", F.coalesce("comp", "node")).join(classes.select("node", "n", "sketch"), "node"))
+    inside = written(links_in_clusters(members, texts, width), "cluster-links")
+    pairs = written(colliding(cross_pairs(posts, clusters)), "cross-pairs")
     more = nodes(pairs).join(texts.select("node"), "node", "left_anti")
-    texts = texts.unionByName(written(texts_of(more, classes, docs, width), "texts"))
-    if add(pairs):
-        labels = components(reduce(DataFrame.unionByName, links))
-    return labels
+    texts = texts.unionByName(written(texts_of(more, classes, docs, width), "more-texts"))
+    between = written(confirmed(pairs, texts, width), "cross-links")
+    return labels_of(components(inside.unionByName(between), edges))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -306,11 +372,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", tex
     sigs = written(signatures(docs, width), "signatures")
     classes = written(classes_of(sigs), "classes")
     labels = all_links(classes, docs, width)
-    own = classes.select("node", "first_id")
-    if labels is not None:
-        placed = own.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        first = placed.groupBy("comp").agg(F.min("first_id").alias("least_id"))
-        own = placed.join(first, "comp").select("node", F.col("least_id").alias("first_id"))
+    placed = (classes.select("node", "first_id").join(labels, "node", "left")
+              .withColumn("comp", F.coalesce("comp", "node")))
+    first = placed.groupBy("comp").agg(F.min("first_id").alias("least_id"))
+    own = placed.join(first, "comp").select("node", F.col("least_id").alias("first_id"))
     out = sigs.select("doc_id", "n_shingles", "node").join(own, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("first_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),

@@ -19,8 +19,10 @@ def test_equals_brute_force_on_documents(spark, width):
     assert found(near_dup.near_duplicates(docs, width)) == brute_components(rows, width)
 
 
-def test_group_of_near_copies_with_weak_hubs(spark):
+@pytest.mark.parametrize("tile", [512, 7])
+def test_group_of_near_copies_with_weak_hubs(spark, monkeypatch, tile):
     """Copies edited in several places: many pairs are not similar, yet all links must be kept."""
+    monkeypatch.setattr(near_dup, "TILE_NODES", tile)
     rnd = random.Random(5)
     base = [f"w{rnd.randrange(3000)}" for _ in range(120)]
     rows = []
@@ -53,7 +55,7 @@ def test_components_of_a_chain_and_a_star(spark):
     def b(i):
         return i.to_bytes(16, "big")
     links = [(b(i), b(i + 1)) for i in range(1, 40)] + [(b(100), b(100 + i)) for i in range(1, 30)]
-    got = near_dup.components(spark.createDataFrame(links, "a binary, b binary")).collect()
+    got = near_dup.labels_of(near_dup.components(spark.createDataFrame(links, "a binary, b binary"))).collect()
     assert {bytes(r.node): bytes(r.comp) for r in got} == ({b(i): b(1) for i in range(1, 41)} | {b(100 + i): b(100) for i in range(30)})
 
 
