@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from insight.llm.common import parts, utf8
+from insight.llm.common import parts, shipped, utf8
 from insight.llm.tokens import tokens
 
 #: Text bytes of a block; a block's rows meet in one task.
@@ -121,7 +121,7 @@ def _blocks(docs: DataFrame, block_bytes: int, rows: Callable[[Block], Iterator[
         if block.ids:
             yield pa.RecordBatch.from_pylist(list(rows(block)), arrow)
 
-    return docs.mapInArrow(run, schema)
+    return shipped(docs).mapInArrow(run, schema)
 
 
 def block_words(docs: DataFrame, n_buckets: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -8,14 +8,17 @@ inside a multi-byte character.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import insight
 from insight.session import ensure_checkpoint_dir
 
 #: Fixed value of the contracts: the characters that part words.
@@ -29,6 +32,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def shipped(df: DataFrame) -> DataFrame:
+    """``df``, after making sure that a local session's Python workers find this package.
+
+    On a cluster the package is installed or passed with ``--py-files``; in
+    local mode the workers share this machine's files, but not ``sys.path``.
+    """
+    sc = df.sparkSession.sparkContext
+    root = str(Path(insight.__file__).resolve().parent.parent)
+    if sc.master.startswith("local") and root not in sc.environment.get("PYTHONPATH", "").split(os.pathsep):
+        sc.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, sc.environment.get("PYTHONPATH")]))
+    return df
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
@@ -47,7 +63,7 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str)
         for batch in batches:
             if batch.num_rows:
                 yield pa.RecordBatch.from_pydict(fn(batch))
-    return df.mapInArrow(run, schema)
+    return shipped(df).mapInArrow(run, schema)
 
 
 def utf8(value: str | None) -> bytes:

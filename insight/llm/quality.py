@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from insight.llm.common import arrow_map, utf8
+from insight.llm.common import arrow_map, shipped, utf8
 
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = b"#*$%&|<>"
@@ -135,6 +135,6 @@ def filter_documents(docs: DataFrame, policy: str, text_col: str = "text") -> Da
     def measured(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([measure_text(t) for t in texts], columns=list(MEASURES), dtype="int64")
 
-    packed = docs.withColumn(name, measured(F.col(text_col)))
+    packed = shipped(docs).withColumn(name, measured(F.col(text_col)))
     bits = failure_bits(lambda m: F.col(name)[m])
     return packed.filter(passes(policy, bits)).drop(name)

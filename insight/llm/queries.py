@@ -134,7 +134,34 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
-@query("op4_secret_scan")
+def _secret_sql() -> str:
+    """Per rule, matches and the text between them give the spans' places; (?i) would also fold beyond ASCII."""
+    def fold(pattern: str) -> str:
+        """Letters of the key words in either case."""
+        head = "password|passwd|secret|token|api_?key"
+        return pattern.replace(head, "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in head))
+
+    parts = []
+    for i, rule in enumerate(secrets.RULES):
+        pattern = fold(rule.pattern) if rule.fold else secrets.scan_pattern(rule)
+        pattern = pattern.replace("'", "''")
+        body = f"regexp_extract_all(t, '{pattern}', 2)" if rule.head else "m"
+        parts.append(f"""SELECT doc_id, {i} AS rule, '{rule.kind}' AS kind, i, m, g, len({'b[i]' if rule.head else 'm[i]'}) AS n
+FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, m, {body if rule.head else 'm'} AS b, string_split_regex(t, '{pattern}') AS g
+  FROM (SELECT doc_id, t, regexp_extract_all(t, '{pattern}') AS m FROM texts) WHERE len(m) > 0))
+WHERE len({'b[i]' if rule.head else 'm[i]'}) >= {rule.least}""")
+    return f"""WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+hits AS ({" UNION ALL ".join(parts)}),
+spans AS (SELECT doc_id, rule, kind, list_sum(list_transform(g[1:i], lambda x: len(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: len(x))), 0) AS s,
+  len(m[i]) AS n FROM hits),
+named AS (SELECT doc_id, rule, kind, s, kind || ':' || s::BIGINT || ':' || (s + n)::BIGINT AS span FROM spans)
+SELECT d.doc_id, {", ".join(f"count(*) FILTER (kind = '{r.kind}')::BIGINT AS n_{r.kind}" for r in secrets.BASE)},
+  sha256(coalesce(string_agg(span, ',' ORDER BY s, rule) FILTER (rule < {len(secrets.BASE)}), '')) AS base_sha256,
+  coalesce(string_agg(span, ',' ORDER BY s, rule), '') AS spans
+FROM documents d LEFT JOIN named n ON n.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
+@query("op4_secret_scan", _secret_sql())
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, the digest of the base spans, and all spans of every document."""
     found = secrets.scan(table(spark, sf_dir, "documents"))
@@ -209,7 +236,24 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("n_chars", F.length("text").cast("long"))
 
 
-@query("op1_minhash_dedup")
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 2
+    THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END)) AS g FROM w WHERE len(w) > 0),
+sz AS (SELECT doc_id, count(*)::BIGINT AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common JOIN sz p ON p.doc_id = x JOIN sz q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM documents
+  UNION SELECT reach.doc_id, both_ways.y FROM reach JOIN both_ways ON both_ways.x = reach.r)
+SELECT reach.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(r) AS component_id, reach.doc_id = min(r) AS kept
+FROM reach LEFT JOIN sz ON sz.doc_id = reach.doc_id GROUP BY reach.doc_id"""
+
+
+@query("op1_minhash_dedup", NEAR_SQL)
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 2-word shingle sets are at least 80% alike."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=2)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from insight.llm.automata import Dfa, compile_rules
-from insight.llm.common import arrow_map, utf8
+from insight.llm.common import arrow_map, shipped, utf8
 
 
 @dataclass(frozen=True)
@@ -56,7 +56,7 @@ ADDED = (
 RULES = BASE + ADDED
 
 
-def _scan_pattern(rule: Rule) -> str:
+def scan_pattern(rule: Rule) -> str:
     """The pattern that the combined pass looks for.
 
     A lone class repeat, such as hex digits, would end a match at every other
@@ -72,7 +72,7 @@ class Scanner:
 
     def __init__(self, rules: tuple[Rule, ...] = RULES) -> None:
         self.rules = rules
-        combined = compile_rules([(_scan_pattern(r), r.fold) for r in rules], anywhere=True)
+        combined = compile_rules([(scan_pattern(r), r.fold) for r in rules], anywhere=True)
         # states renumbered so that marked ones come last and a state is its table row's offset
         order = sorted(range(len(combined)), key=lambda s: (combined.marks[s] != 0, s))
         place = {s: i * 256 for i, s in enumerate(order)}
@@ -82,7 +82,7 @@ class Scanner:
         self.bits = {place[s]: [i for i in range(len(rules)) if combined.marks[s] >> i & 1]
                      for s in order if combined.marks[s]}
         self.forward = [compile_rules([(r.pattern, r.fold)], anywhere=False) for r in rules]
-        self.backward = [compile_rules([(_scan_pattern(r), r.fold)], anywhere=False, reverse=True) for r in rules]
+        self.backward = [compile_rules([(scan_pattern(r), r.fold)], anywhere=False, reverse=True) for r in rules]
         self.heads = [compile_rules([(r.head, r.fold)], anywhere=False) if r.head else None for r in rules]
         self.dead = {id(d): _dead(d) for d in (*self.forward, *self.backward, *self.heads) if d}
 
@@ -183,7 +183,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     def clean(texts: pd.Series) -> pd.Series:
         return texts.map(redacted, na_action="ignore")
 
-    out = docs.withColumn(text_col, clean(F.col(text_col)))
+    out = shipped(docs).withColumn(text_col, clean(F.col(text_col)))
     if length_col in docs.columns:
         out = out.withColumn(length_col, F.length(F.col(text_col)).cast(docs.schema[length_col].dataType))
     return out

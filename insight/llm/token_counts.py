@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from insight.llm.common import utf8, written
+from insight.llm.common import shipped, utf8, written
 from insight.llm.tokens import tokens
 
 CHUNK = 65_536
@@ -178,7 +178,7 @@ def word_counter(path: str) -> WordCounter:
 def token_counts(docs: DataFrame, path: str, word_parted: bool, id_col: str = "doc_id", text_col: str = "text",
                  chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) of every row."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = shipped(docs).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     id_type = rows.dtypes[0][1]
     rows = rows.withColumn("n_bytes", F.octet_length("text").cast("long"))
 

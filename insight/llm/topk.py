@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from insight.llm.common import shipped
+
 #: Bytes of a shard's and a query tile's matrix; their score matrix is cut by these, too.
 SHARD_BYTES = 4 << 20
 QUERY_BYTES = 512 << 10
@@ -67,7 +69,7 @@ def packed(rows: DataFrame, n_bytes: int) -> DataFrame:
         for dim in list(held):
             yield out(dim)
 
-    return rows.select("vec_id", "v").mapInArrow(run, PACK_SCHEMA)
+    return shipped(rows).select("vec_id", "v").mapInArrow(run, PACK_SCHEMA)
 
 
 def products(queries: np.ndarray, shard: np.ndarray) -> np.ndarray:
