@@ -6,25 +6,24 @@ weighting. The obvious Spark forms do not scale: ``percentile`` holds every
 value of a group in one task, and ``row_number()`` over an un-partitioned
 window funnels the whole table into one partition.
 
-Method (two levels, all lazy DataFrame operations):
-
-1. Collapse rows to value counts per (group, value) - a map-side combined
-   aggregate, so a value that holds a third of all rows becomes one row.
-2. A bounded-memory sketch (``percentile_approx``) per group cuts the distinct
-   values into ``n_buckets`` buckets. Only the bucket *boundaries* come from the
-   sketch; the answer stays exact.
-3. Bucket totals (<= n_buckets rows per group) give each bucket's offset.
-4. Each requested rank is mapped to its bucket, and only those buckets are
-   scanned with a running sum (window partitioned by group and bucket), so one
-   task never sees more than one bucket.
-
-Global (un-grouped) statistics are *fitted* like Spark ML's
-``QuantileDiscretizer``: a few small jobs return only bounded summaries to the
-driver (<= n_buckets bucket totals, <= 2 rows per requested rank), and rows
-are then labelled by literal ``CASE WHEN`` chains inside whole-stage codegen.
-When the first job shows at most ``SMALL_DISTINCT`` distinct values, one
-window over the value counts (a proven-small single partition) replaces the
-bucket pass. Grouped statistics (``quantiles`` with ``by``) stay lazy joins.
+Method: a sketch, then a bracket, then exact counts. Rows are never shuffled.
+
+1. One scan takes the size and a bounded sketch (``percentile_approx``) of each
+   group. The sketch's rank error is known, so two of its values with a margin
+   around a rank enclose the value at that rank. The sketch only chooses these
+   brackets; the answer stays exact.
+2. A second scan counts, map-side, the rows below each bracket and the rows of
+   each distinct value inside it (a value that holds a third of all rows is
+   one row). A running sum over these few values gives the value at the rank.
+3. A bracket of more than ``BRACKET_ROWS`` rows is narrowed first, by a scan
+   that sketches only the rows inside it. A rank that a bracket should have
+   missed is looked for again without one, so no error bound is trusted blindly.
+
+Un-grouped statistics are *fitted* like Spark ML's ``QuantileDiscretizer``:
+only sizes, sketch values and the rows at requested ranks reach the driver,
+and rows are labelled by literal ``CASE WHEN`` chains inside whole-stage
+codegen. Grouped statistics (``quantiles`` with ``by``) stay lazy: a group's
+bracket is a row that meets the group's rows by an ordinary join.
 """
 
 from __future__ import annotations
@@ -32,183 +31,154 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-DEFAULT_BUCKETS = 128
-SKETCH_ACCURACY = 10000
-SMALL_DISTINCT = 200_000
+#: Quantiles that a sketch is asked for, its accuracy (rank error 1 in so many), and the
+#: number of grid steps that a bracket reaches beyond a rank: ten times that error.
+GRID = 1_000
+SKETCH_ACCURACY = 10_000
+MARGIN = 1
+#: Rows of a bracket that one running sum may hold.
+BRACKET_ROWS = 1_000_000
+#: Groups up to this size are counted whole; beyond it neighbouring ranks lie within a bracket's margin.
+WHOLE_GROUP = 10_000
 
 
-def _attach(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Equi-join on the group keys, or attach a one-row table when there are none."""
-    if by:
-        return left.join(right, list(by))
-    return left.crossJoin(F.broadcast(right))
+def _grid(value: Column | str) -> Column:
+    return F.percentile_approx(value, [i / GRID for i in range(GRID + 1)], SKETCH_ACCURACY)
 
 
-def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """(by..., value, _cnt) for non-null values."""
-    return (df.where(F.col(value).isNotNull())
-              .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_cnt")))
+def _around(grid: list, n: int, rank: int) -> tuple:
+    """Values of a sketch's grid that enclose a 0-based rank of n; None is open."""
+    if n <= GRID:
+        return None, None
+    lo, hi = rank * GRID // n - MARGIN - 1, -(-(rank + 1) * GRID // n) + MARGIN + 1
+    return (grid[lo] if lo >= 0 else None), (grid[hi] if hi <= GRID else None)
 
 
-def locate_ranks(counts: DataFrame, value: str, by: Sequence[str], requests: DataFrame,
-                 n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Find the value at each requested 0-based rank.
-
-    ``counts``: one row per distinct (by..., value) with ``_cnt``.
-    ``requests``: (by..., _req, _k).
-    Returns (by..., _req, _k, value, _before, _cnt) where ``_before`` counts the
-    rows of the group ordered strictly before ``value``.
-    """
-    by = list(by)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = counts.groupBy(*by).agg(
-        F.percentile_approx(value, probs, SKETCH_ACCURACY).alias("_bounds"))
-    bucketed = (_attach(counts, bounds, by)
-                .withColumn("_bkt", F.size(F.filter("_bounds", lambda b: b < F.col(value))))
-                .drop("_bounds"))
-    totals = bucketed.groupBy(*by, "_bkt").agg(F.sum("_cnt").alias("_bsum"))
-    before = Window.partitionBy(*by).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("_boff", F.coalesce(F.sum("_bsum").over(before), F.lit(0)))
-
-    inside = (F.col("_k") >= F.col("_boff")) & (F.col("_k") < F.col("_boff") + F.col("_bsum"))
-    if by:
-        located = requests.join(totals, by).where(inside)
-    else:
-        located = requests.join(F.broadcast(totals), inside)
-    needed = located.select(*by, "_bkt").distinct()
-    if not by:
-        needed = F.broadcast(needed)
-    candidates = bucketed.join(needed, by + ["_bkt"], "left_semi")
-    running = Window.partitionBy(*by, "_bkt").orderBy(value).rowsBetween(
-        Window.unboundedPreceding, 0)
-    candidates = candidates.withColumn("_cum", F.sum("_cnt").over(running))
-    local = F.col("_k") - F.col("_boff")
-    hit = located.join(candidates, by + ["_bkt"]).where(
-        (local < F.col("_cum")) & (local >= F.col("_cum") - F.col("_cnt")))
-    return hit.select(*by, "_req", "_k", value,
-                      (F.col("_boff") + F.col("_cum") - F.col("_cnt")).alias("_before"),
-                      "_cnt")
+def _inside(value: str) -> Column:
+    x = F.col(value)
+    return (F.col("_lo").isNull() | (x >= F.col("_lo"))) & (F.col("_hi").isNull() | (x <= F.col("_hi")))
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-              out: str = "quantiles", n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+              out: str = "quantiles") -> DataFrame:
     """Exact quantiles with linear interpolation (numpy's default, DuckDB's
     ``quantile_cont``). Nulls are ignored. One row per group:
-    (by..., out: array<double> in the order of ``probs``)."""
+    (by..., out: array<double> in the order of ``probs``). Two scans."""
     by = list(by)
-    counts = value_counts(df, value, by)
-    sizes = counts.groupBy(*by).agg(F.sum("_cnt").alias("_n"))
-    wanted = F.array(*[F.struct(F.lit(j).alias("j"), F.lit(float(p)).alias("p"))
-                       for j, p in enumerate(probs)])
-    pos = (sizes.select(*by, F.explode(wanted).alias("_w"), "_n")
-                .select(*by, F.col("_w.j").alias("_j"),
-                        (F.col("_w.p") * (F.col("_n") - 1)).alias("_pos")))
-    requests = pos.select(*by, "_j", "_pos", F.explode(F.array(
-        F.floor("_pos"), F.ceil("_pos"))).alias("_k")).select(
-        *by, (F.col("_j") * 2 + (F.col("_k") - F.floor("_pos"))).alias("_req"), "_k")
-    requests = requests.dropDuplicates(by + ["_req"])
-    found = locate_ranks(counts, value, by, requests, n_buckets)
-    found = found.select(*by, "_k", F.col(value).cast("double").alias("_v")).dropDuplicates(
-        by + ["_k"])
-    lo = found.select(*by, F.col("_k").alias("_lo"), F.col("_v").alias("_vlo"))
-    hi = found.select(*by, F.col("_k").alias("_hi"), F.col("_v").alias("_vhi"))
-    pos = pos.withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos"))
-    joined = pos.join(lo, by + ["_lo"]).join(hi, by + ["_hi"])
-    q = F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))
-    per = joined.select(*by, "_j", q.alias("_q"))
-    return per.groupBy(*by).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_j", "_q"))),
-                    lambda s: s["_q"]).alias(out))
-
-
-def _locate_groups(counts: DataFrame, value: str, ranks_fn, n_buckets: int = DEFAULT_BUCKETS):
-    """Eager rank lookup over value counts (_g, value, _cnt) of a few groups.
-
-    ``_g`` names a small set of groups (columns of one table, or tie groups).
-    ``ranks_fn(g, n)`` gives the 0-based ranks wanted in group ``g`` of size n.
-    Returns {g: (n, {rank: (value, rows_before_value)})}. Two jobs: one
-    aggregate for per-group statistics and sketch bounds, one window pass
-    restricted to the rows that can hold a requested rank.
+    keys = [f"_k{i}" for i in range(len(by))]
+    rows = df.where(F.col(value).isNotNull()).select(
+        *[F.col(c).alias(k) for c, k in zip(by, keys)], F.col(value).cast("double").alias("_x"))
+    margin = 10 / SKETCH_ACCURACY
+    edges = [e for p in probs for e in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    stats = rows.groupBy(*keys).agg(F.count("_x").alias("_n"), F.percentile_approx("_x", edges, SKETCH_ACCURACY).alias("_e"))
+    wide = F.col("_n") > WHOLE_GROUP
+    wanted = F.array(*[F.struct(
+        F.lit(j).alias("_j"), F.lit(float(p)).alias("_p"),
+        F.when(wide & F.lit(p - margin > 0), F.col("_e")[2 * j]).alias("_lo"),
+        F.when(wide & F.lit(p + margin < 1), F.col("_e")[2 * j + 1]).alias("_hi")) for j, p in enumerate(probs)])
+    brackets = stats.select(*keys, "_n", F.explode(wanted).alias("_w")).select(*keys, "_n", "_w.*")
+    counts = _meet(rows, brackets, keys).groupBy(*keys, "_j", "_p", "_n", F.when(_inside("_x"), F.col("_x")).alias("_v")).agg(
+        F.count_if(F.col("_x") < F.col("_lo")).alias("_under"), F.count(F.lit(1)).alias("_c"))
+    whole = Window.partitionBy(*keys, "_j")
+    run = whole.orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumn("_below", F.sum("_under").over(whole)).withColumn(
+        "_upto", F.col("_below") + F.sum(F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(0)).over(run))
+    pos = F.col("_p") * (F.col("_n") - 1)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col("_c")), F.col("_v")))
+
+    found = counts.where(F.col("_v").isNotNull()).groupBy(*keys, "_j", "_p", "_n").agg(
+        at(F.floor(pos)).alias("_a"), at(F.ceil(pos)).alias("_b"))
+    q = F.col("_a") + (pos - F.floor(pos)) * (F.col("_b") - F.col("_a"))
+    lost = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+    per = found.select(*keys, "_j", F.when(F.col("_a").isNull() | F.col("_b").isNull(), lost).otherwise(q).alias("_q"))
+    return per.groupBy(*keys).agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("_j", "_q"))), lambda x: x["_q"]).alias(out)).select(
+        *[F.col(k).alias(c) for c, k in zip(by, keys)], out)
+
+
+def _meet(rows: DataFrame, brackets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with the brackets of their group; a null key is a group, too."""
+    if not keys:
+        return rows.crossJoin(F.broadcast(brackets))  # one row per requested quantile
+    other = brackets.select(*[F.col(k).alias(f"{k}b") for k in keys], "_n", "_j", "_p", "_lo", "_hi")
+    on = None
+    for k in keys:
+        same = F.col(k).eqNullSafe(F.col(f"{k}b"))
+        on = same if on is None else on & same
+    return rows.join(other, on).drop(*[f"{k}b" for k in keys])
+
+
+def _locate_groups(rows: DataFrame, value: str, ranks_fn):
+    """Values at ranks of a few groups, eagerly.
+
+    ``rows`` is (_g, value); ``_g`` names a small set of groups (columns of one
+    table, or tie groups). ``ranks_fn(g, n)`` gives the 0-based ranks wanted in
+    group ``g`` of size n. Returns {g: (n, {rank: (value, rows_before_value)})}.
+    Two scans; one more for each narrowing of large brackets.
     """
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    stats = counts.groupBy("_g").agg(
-        F.count(F.lit(1)).alias("nd"), F.sum("_cnt").alias("n"),
-        F.percentile_approx(value, probs, SKETCH_ACCURACY).alias("b")).collect()
-    result, wanted = {}, {}
+    rows = rows.where(F.col(value).isNotNull())
+    spark, kind = rows.sparkSession, rows.schema[value].dataType.simpleString()
+    stats = rows.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), _grid(value).alias("b")).collect()
+    result, todo = {}, []
     for st in stats:
-        n = int(st["n"] or 0)
-        ks = sorted(set(int(k) for k in ranks_fn(st["_g"], n))) if n else []
+        n = st["n"]
+        ks = sorted({int(k) for k in ranks_fn(st["_g"], n)}) if n else []
         result[st["_g"]] = (n, {})
-        if ks:
-            wanted[st["_g"]] = ks
-    if not wanted:
-        return result
-    small = all(st["nd"] <= SMALL_DISTINCT for st in stats if st["_g"] in wanted)
-    gkey = F.col("_g")
-    if small:
-        # proven small: each group is one ordered window partition
-        w = Window.partitionBy("_g").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-        cum = counts.where(gkey.isin(list(wanted))).withColumn("_cum", F.sum("_cnt").over(w))
-        cond = F.lit(False)
-        for g, ks in wanted.items():
-            for k in ks:
-                cond = cond | ((gkey == F.lit(g)) & (F.col("_cum") - F.col("_cnt") <= k)
-                               & (F.lit(k) < F.col("_cum")))
-        hits = [(h["_g"], h[value], h["_cum"] - h["_cnt"], h["_cum"])
-                for h in cum.where(cond).select("_g", value, "_cnt", "_cum").collect()]
-    else:
-        # a finer common bucketing (union of all groups' bounds) is still
-        # ordered within each group; Bucketizer is a JVM binary search
-        splits = sorted({float(x) for st in stats if st["_g"] in wanted for x in st["b"]})
-        bucketed = Bucketizer(
-            splits=[-math.inf] + splits + [math.inf], inputCol="_bv", outputCol="_bd",
-        ).transform(counts.where(gkey.isin(list(wanted))).withColumn(
-            "_bv", F.col(value).cast("double"))).withColumn(
-            "_bkt", F.col("_bd").cast("int")).drop("_bv", "_bd")
-        offsets, acc = {}, {}
-        for r in sorted(bucketed.groupBy("_g", "_bkt").agg(F.sum("_cnt").alias("_s")).collect(),
-                        key=lambda r: (str(r["_g"]), r["_bkt"])):
-            lo = acc.get(r["_g"], 0)
-            offsets[(r["_g"], r["_bkt"])] = (lo, lo + r["_s"])
-            acc[r["_g"]] = lo + r["_s"]
-        need = {}
-        for (g, bk), (lo, hi) in offsets.items():
-            for k in wanted.get(g, []):
-                if lo <= k < hi:
-                    need.setdefault((g, bk), []).append(k - lo)
-        w = Window.partitionBy("_g", "_bkt").orderBy(value).rowsBetween(
-            Window.unboundedPreceding, 0)
-        cond_b = F.lit(False)
-        cond = F.lit(False)
-        for (g, bk), lks in need.items():
-            cond_b = cond_b | ((gkey == F.lit(g)) & (F.col("_bkt") == bk))
-            for lk in lks:
-                cond = cond | ((gkey == F.lit(g)) & (F.col("_bkt") == bk)
-                               & (F.col("_cum") - F.col("_cnt") <= lk) & (F.lit(lk) < F.col("_cum")))
-        sel = bucketed.where(cond_b).withColumn("_cum", F.sum("_cnt").over(w))
-        hits = []
-        for h in sel.where(cond).select("_g", value, "_bkt", "_cnt", "_cum").collect():
-            lo = offsets[(h["_g"], h["_bkt"])][0]
-            hits.append((h["_g"], h[value], lo + h["_cum"] - h["_cnt"], lo + h["_cum"]))
-    for g, v, before, cum in hits:
-        for k in wanted.get(g, []):
-            if before <= k < cum:
-                result[g][1][k] = (v, before)
+        for k in ks:
+            lo, hi = _around(st["b"], n, k)
+            todo.append((st["_g"], k, lo, hi, 0 if lo is None and hi is None else n * (2 * MARGIN + 4) // GRID))
+    todo = [(g, k, lo, hi, size or result[g][0]) for g, k, lo, hi, size in todo]
+    schema = f"_g string, _k bigint, _lo {kind}, _hi {kind}"
+
+    def met(wanted: list) -> DataFrame:
+        table = spark.createDataFrame([w[:4] for w in wanted], schema)  # one row per requested rank
+        return rows.join(F.broadcast(table), "_g")
+
+    while any(w[4] > BRACKET_ROWS and w[2] != w[3] for w in todo):
+        inner = F.when(_inside(value), F.col(value))
+        sizes = {(r["_g"], r["_k"]): r for r in met(todo).groupBy("_g", "_k").agg(
+            F.count_if(F.col(value) < F.col("_lo")).alias("below"), F.count(inner).alias("size"), _grid(inner).alias("b")).collect()}
+        narrower = []
+        for g, k, lo, hi, size in todo:
+            r = sizes[(g, k)]
+            a, b = _around(r["b"], r["size"], k - r["below"]) if r["size"] else (None, None)
+            narrower.append((g, k, lo if a is None else a, hi if b is None else b, r["size"] * (2 * MARGIN + 4) // GRID))
+        if [w[2:4] for w in narrower] == [w[2:4] for w in todo]:
+            break
+        todo = narrower
+    while todo:
+        counts = met(todo).groupBy("_g", "_k", F.when(_inside(value), F.col(value)).alias("_v")).agg(
+            F.count_if(F.col(value) < F.col("_lo")).alias("_under"), F.count(F.lit(1)).alias("_c"))
+        whole = Window.partitionBy("_g", "_k")
+        run = whole.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+        counts = counts.withColumn("_below", F.sum("_under").over(whole)).where(F.col("_v").isNotNull())
+        counts = counts.withColumn("_upto", F.col("_below") + F.sum("_c").over(run))
+        hits = counts.where((F.col("_k") < F.col("_upto")) & (F.col("_k") >= F.col("_upto") - F.col("_c")))
+        for h in hits.select("_g", "_k", "_v", (F.col("_upto") - F.col("_c")).alias("before")).collect():
+            result[h["_g"]][1][h["_k"]] = (h["_v"], h["before"])
+        todo = [(g, k, None, None, 0) for g, k, lo, hi, _ in todo
+                if k not in result[g][1] and (lo is not None or hi is not None)]
     return result
 
 
-def stacked_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Value counts of several numeric columns in one long table (_g, _v, _cnt)."""
+def stacked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Several numeric columns as one long table (_g, _v)."""
     parts = F.array(*[F.struct(F.lit(c).alias("_g"), F.col(c).cast("double").alias("_v"))
                       for c in columns])
     long = df.select(F.explode(parts).alias("_s")).select("_s._g", "_s._v")
-    return long.where(F.col("_v").isNotNull()).groupBy("_g", "_v").agg(
-        F.count(F.lit(1)).alias("_cnt"))
+    return long.where(F.col("_v").isNotNull())
+
+
+def value_at_rank(df: DataFrame, value: str, rank: int):
+    """T4: the value at a 0-based rank, exact, without sorting the table."""
+    rows = df.select(F.lit("v").alias("_g"), F.col(value).alias("_v"))
+    return _locate_groups(rows, "_v", lambda g, n: [rank])["v"][1][rank][0]
 
 
 def _interp(n: int, found: dict, probs: Sequence[float]) -> list[float | None]:
@@ -234,17 +204,16 @@ def _quantile_ranks(probs):
 
 
 def multi_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    n_buckets: int = DEFAULT_BUCKETS) -> dict[str, list[float | None]]:
+                    ) -> dict[str, list[float | None]]:
     """Exact quantiles of several columns at once (two jobs in all)."""
-    found = _locate_groups(stacked_counts(df, columns), "_v", _quantile_ranks(probs), n_buckets)
+    found = _locate_groups(stacked(df, columns), "_v", _quantile_ranks(probs))
     return {c: _interp(*found.get(c, (0, {})), probs) for c in columns}
 
 
-def global_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                     n_buckets: int = DEFAULT_BUCKETS) -> list[float | None]:
+def global_quantiles(df: DataFrame, value: str, probs: Sequence[float]) -> list[float | None]:
     """Exact quantiles of one column, linear interpolation (numpy default,
     DuckDB ``quantile_cont``), nulls ignored. Returns Python floats."""
-    return multi_quantiles(df, [value], probs, n_buckets)[value]
+    return multi_quantiles(df, [value], probs)[value]
 
 
 def qcut_edges(df: DataFrame, value: str, q: int) -> list[float]:
@@ -272,23 +241,21 @@ def qcut(df: DataFrame, value: str, labels: Sequence, out: str) -> DataFrame:
     return df.withColumn(out, qcut_label(value, qcut_edges(df, value, len(labels)), labels))
 
 
-def first_rank_thresholds(df: DataFrame, value: str, key: str, q: int,
-                          n_buckets: int = DEFAULT_BUCKETS) -> list[tuple]:
+def first_rank_thresholds(df: DataFrame, value: str, key: str, q: int) -> list[tuple]:
     """The q-1 (value, key) pairs closing the bins of
     ``qcut(x.rank(method="first"), q)`` with ties broken by ``key``."""
-    return multi_first_rank_thresholds(df, [value], key, q, n_buckets)[value]
+    return multi_first_rank_thresholds(df, [value], key, q)[value]
 
 
 def multi_first_rank_thresholds(df: DataFrame, columns: Sequence[str], key: str, q: int,
-                                n_buckets: int = DEFAULT_BUCKETS,
                                 quantile_columns: dict[str, Sequence[float]] | None = None):
     """First-rank bin thresholds for several columns (four jobs in all).
 
     Ranks 1..n have edges 1 + i(n-1)/q, so a row falls in a bin <= i exactly
     when its 1-based rank is <= m_i = 1 + floor(i(n-1)/q). The row at rank m_i
-    is found in two exact steps: the value at that rank (value counts), then
-    the key at the remaining position among the rows tied on that value (key
-    counts of those rows only). Nothing numbers the whole table.
+    is found in two exact steps: the value at that rank, then the key at the
+    remaining position among the rows tied on that value. Nothing numbers the
+    whole table.
 
     ``quantile_columns`` ({column: probs}) rides along in the first step, so
     plain quantiles of other columns cost no extra job; the return value is
@@ -301,8 +268,7 @@ def multi_first_rank_thresholds(df: DataFrame, columns: Sequence[str], key: str,
     def ranks(g, n):
         return qranks[g](g, n) if g in qranks else kq(n)
 
-    step1 = _locate_groups(stacked_counts(df, list(columns) + list(quantile_columns)), "_v",
-                           ranks, n_buckets)
+    step1 = _locate_groups(stacked(df, list(columns) + list(quantile_columns)), "_v", ranks)
     qout = {c: _interp(*step1.get(c, (0, {})), p) for c, p in quantile_columns.items()}
     ties, tie_rank = [], {}
     for c in columns:
@@ -320,10 +286,9 @@ def multi_first_rank_thresholds(df: DataFrame, columns: Sequence[str], key: str,
         for p in parts[1:]:
             tied = tied.unionByName(p)
         if isinstance(df.schema[key].dataType, (StringType, BinaryType)):
-            keys = text_at_rank(tied, tie_rank, n_buckets)
+            keys = text_at_rank(tied, tie_rank)
         else:
-            kc = tied.groupBy("_g", "_key").agg(F.count(F.lit(1)).alias("_cnt"))
-            step2 = _locate_groups(kc, "_key", lambda g, n: [tie_rank[g]], n_buckets)
+            step2 = _locate_groups(tied, "_key", lambda g, n: [tie_rank[g]])
             keys = {g: step2[g][1][tie_rank[g]][0] for g in tie_rank}
         for gid, c, v in ties:
             out[c].append((v, keys[gid]))
@@ -334,7 +299,7 @@ def multi_first_rank_thresholds(df: DataFrame, columns: Sequence[str], key: str,
 KEY_BYTES = 6
 
 
-def text_at_rank(rows: DataFrame, ranks: dict[str, int], n_buckets: int = DEFAULT_BUCKETS) -> dict[str, str]:
+def text_at_rank(rows: DataFrame, ranks: dict[str, int]) -> dict[str, str]:
     """The text key at a rank of each group of (_g, _key), in byte order.
 
     Each round looks at the next six bytes as a number, finds the number at
@@ -347,8 +312,7 @@ def text_at_rank(rows: DataFrame, ranks: dict[str, int], n_buckets: int = DEFAUL
 
     left, at, j = rows, dict(ranks), 0
     while True:
-        counts = left.select("_g", chunk(j).alias("_c")).groupBy("_g", "_c").agg(F.count(F.lit(1)).alias("_cnt"))
-        found = _locate_groups(counts, "_c", lambda g, n: [at[g]], n_buckets)
+        found = _locate_groups(left.select("_g", chunk(j).alias("_c")), "_c", lambda g, n: [at[g]])
         same = F.lit(False)
         for g, rank in at.items():
             value, before = found[g][1][rank]

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from insight.functions.order_stats import _locate_groups, value_counts
+from insight.functions.order_stats import value_at_rank
 from insight.plans.registry import i64, query, r
 from insight.sources import Tables
 
@@ -99,9 +99,7 @@ ORDER BY o_totalprice LIMIT 1 OFFSET 4""")
 def q_kth_smallest(spark, sf_dir):
     """T4: the 5th smallest order value, exact, without sorting the table."""
     o = Tables(spark, sf_dir).orders
-    counts = value_counts(o, "o_totalprice").select(F.lit("v").alias("_g"), "o_totalprice", "_cnt")
-    found = _locate_groups(counts, "o_totalprice", lambda g, n: [4])
-    v = found["v"][1][4][0]
+    v = value_at_rank(o, "o_totalprice", 4)
     return spark.range(1).select(r(F.lit(v)).alias("threshold"))
 
 

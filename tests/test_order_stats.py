@@ -16,10 +16,15 @@ def frame(spark):
     return pdf, spark.createDataFrame(pdf)
 
 
-@pytest.mark.parametrize("small", [200_000, 5])
-def test_quantiles_match_numpy(frame, small, monkeypatch):
+#: Usual settings, and ones that make small data take brackets and their narrowing.
+SETTINGS = [{}, {"GRID": 40, "BRACKET_ROWS": 30}]
+
+
+@pytest.mark.parametrize("settings", SETTINGS)
+def test_quantiles_match_numpy(frame, settings, monkeypatch):
     pdf, df = frame
-    monkeypatch.setattr(OS, "SMALL_DISTINCT", small)  # 5 forces the bucketed path
+    for name, value in settings.items():
+        monkeypatch.setattr(OS, name, value)
     got = OS.multi_quantiles(df, ["x", "y"], PROBS)
     assert np.allclose(got["x"], np.quantile(pdf.x, PROBS))
     assert np.allclose(got["y"], np.quantile(pdf.y, PROBS))
@@ -32,10 +37,35 @@ def test_grouped_quantiles(frame):
         assert np.allclose(row.quantiles, np.quantile(pdf[pdf.g == row.g].x, PROBS))
 
 
-@pytest.mark.parametrize("small", [200_000, 5])
-def test_first_rank_qcut_matches_pandas(frame, small, monkeypatch):
+def test_grouped_quantiles_of_large_groups(spark):
+    """Groups beyond WHOLE_GROUP are counted inside brackets; a null key is a group; one value is hot."""
+    rng = np.random.default_rng(8)
+    n = 60_000
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, n), "x": np.round(rng.normal(size=n), 3)})
+    pdf.loc[rng.random(n) < 0.3, "x"] = 0.5
+    pdf.loc[::1000, "x"] = np.nan
+    df = spark.createDataFrame([(None if g == 2 else int(g), None if np.isnan(x) else float(x)) for g, x in pdf.itertuples(index=False)],
+                               "g int, x double")
+    got = {r.g: r.quantiles for r in OS.quantiles(df, "x", PROBS, by=["g"]).collect()}
+    for g in (0, 1, 2):
+        assert np.allclose(got[None if g == 2 else g], np.nanquantile(pdf[pdf.g == g].x, PROBS))
+    whole = OS.quantiles(df, "x", PROBS).first()["quantiles"]
+    assert np.allclose(whole, np.nanquantile(pdf.x, PROBS))
+    assert np.allclose(OS.global_quantiles(df, "x", PROBS), np.nanquantile(pdf.x, PROBS))
+
+
+def test_scans_of_the_source(spark):
+    """Grouped quantiles read their source twice, whatever the number of quantiles."""
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    plan = OS.quantiles(df, "l_quantity", PROBS, by=["l_returnflag"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2
+
+
+@pytest.mark.parametrize("settings", SETTINGS)
+def test_first_rank_qcut_matches_pandas(frame, settings, monkeypatch):
     pdf, df = frame
-    monkeypatch.setattr(OS, "SMALL_DISTINCT", small)
+    for name, value in settings.items():
+        monkeypatch.setattr(OS, name, value)
     out = OS.qcut_first_rank(df, "x", "k", [1, 2, 3, 4, 5], "s").toPandas().sort_values("k")
     exp = pd.qcut(pdf.sort_values("k").x.rank(method="first"), 5, labels=[1, 2, 3, 4, 5])
     assert (out.s.values == exp.astype(int).values).all()
