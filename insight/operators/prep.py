@@ -79,20 +79,34 @@ def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                            for c in columns if med[c][0] is not None})
 
 
+def few_distinct(df: DataFrame, columns: Sequence[str], limit: int) -> dict[str, int]:
+    """Exact distinct counts of the columns that have at most ``limit`` distinct values.
+
+    A sketch of all columns (one scan, no copies of rows) rules out those far
+    above the limit; only the rest are counted exactly.
+    """
+    if not columns:
+        return {}
+    rough = df.agg(*[F.approx_count_distinct(c).alias(f"_{i}") for i, c in enumerate(columns)]).first()
+    near = [c for i, c in enumerate(columns) if rough[f"_{i}"] <= 2 * limit + 10]
+    if not near:
+        return {}
+    exact = df.agg(*[F.count_distinct(c).alias(f"_{i}") for i, c in enumerate(near)]).first()
+    return {c: exact[f"_{i}"] for i, c in enumerate(near) if exact[f"_{i}"] <= limit}
+
+
 def fill_mode(df: DataFrame, columns: Sequence[str], max_distinct: int = 25) -> DataFrame:
     """Nulls -> most frequent value (lowest on ties), only for columns with
     at most ``max_distinct`` distinct values, null counted as one."""
-    row = df.agg(*[F.count_distinct(c).alias(f"{c}__nd") for c in columns],
-                 *[F.count_if(F.col(c).isNull()).alias(f"{c}__nn") for c in columns]).first()
-    eligible = [c for c in columns
-                if row[f"{c}__nd"] + (1 if row[f"{c}__nn"] else 0) <= max_distinct]
-    if not eligible:
+    few = few_distinct(df, columns, max_distinct)
+    if not few:
         return df
     # mode only where the distinct count is proven small (its buffer holds one
     # entry per distinct value)
-    modes = df.agg(*[F.mode(c, True).alias(c) for c in eligible]).first()
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(modes[c]))
-                           for c in eligible if modes[c] is not None})
+    found = df.agg(*[F.mode(c, True).alias(f"_m{i}") for i, c in enumerate(few)],
+                   *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(few)]).first()
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(found[f"_m{i}"])) for i, (c, n) in enumerate(few.items())
+                           if found[f"_m{i}"] is not None and n + (found[f"_n{i}"] > 0) <= max_distinct})
 
 
 def fill_absent(df: DataFrame, columns: Sequence[str], min_null_share: float = 0.45,
@@ -109,10 +123,8 @@ def fill_absent(df: DataFrame, columns: Sequence[str], min_null_share: float = 0
 def binary_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     """X11: non-numeric columns with exactly two distinct values."""
     columns = [c for c in columns if not isinstance(df.schema[c].dataType, NumericType)]
-    if not columns:
-        return []
-    row = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).first()
-    return [c for c in columns if row[c] == 2]
+    few = few_distinct(df, columns, 2)
+    return [c for c in columns if few.get(c) == 2]
 
 
 def label_encode(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
@@ -141,19 +153,25 @@ def label_encode(df: DataFrame, column: str, out: str | None = None) -> DataFram
 def rare_encode(df: DataFrame, columns: Sequence[str], rare_perc: float,
                 label: str = "Rare") -> DataFrame:
     """Categories whose share of all rows (nulls in the denominator) is
-    below ``rare_perc`` become ``label``. Shares are a small grouped table
-    joined back by category (broadcast: one row per category)."""
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    out = df
-    for c in columns:
-        shares = (df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-                  .crossJoin(F.broadcast(total))
-                  .select(F.col(c).alias(f"_{c}_v"), (F.col("_n") / F.col("_total")).alias("_share")))
-        out = (out.join(F.broadcast(shares), F.col(c) == F.col(f"_{c}_v"), "left")
-                  .withColumn(c, F.when(F.col("_share") < rare_perc, F.lit(label))
-                              .otherwise(F.col(c)))
-                  .drop(f"_{c}_v", "_share"))
-    return out
+    below ``rare_perc`` become ``label``.
+
+    The categories of all columns are counted in one scan. At most
+    1 / ``rare_perc`` of a column's categories are not rare, so those, a table
+    of a size known beforehand, become one set per column in a single row, and
+    the rows are labelled without a join on categories.
+    """
+    columns = list(columns)
+    if not columns or rare_perc <= 0:
+        return df
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("string").alias("v"))
+                                         for i, c in enumerate(columns)])).alias("s")).select("s.c", "s.v")
+    total = df.count()
+    kept = (long.where(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") / F.lit(total) >= rare_perc).collect() if total else [])
+    sets = {i: [r["v"] for r in kept if r["c"] == i] for i in range(len(columns))}
+    return df.withColumns({c: F.when(F.col(c).isNull(), F.col(c).cast("string"))
+                           .when(F.col(c).cast("string").isin(sets[i]) if sets[i] else F.lit(False), F.col(c).cast("string"))
+                           .otherwise(F.lit(label)) for i, c in enumerate(columns)})
 
 
 def one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = False) -> DataFrame:

@@ -150,12 +150,17 @@ def _corr(a: str, b: str):
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long-form correlation matrix (col_a, col_b, corr), one aggregate."""
-    pairs = [(a, b) for a in columns for b in columns]
-    row = df.agg(*[_corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    return row.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                 F.col(f"{a}__{b}").alias("corr")) for a, b in pairs])).alias("s")).select("s.*")
+    """Long-form correlation matrix (col_a, col_b, corr), one aggregate.
+    Each pair is computed once and told in both directions."""
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    row = df.agg(*[_corr(columns[i], columns[j]).alias(f"_c{i}_{j}") for i, j in pairs])
+
+    def told(a: str, b: str, name: str):
+        return F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(name).alias("corr"))
+
+    both = [told(columns[i], columns[j], f"_c{i}_{j}") for i, j in pairs]
+    both += [told(columns[j], columns[i], f"_c{i}_{j}") for i, j in pairs if i != j]
+    return row.select(F.explode(F.array(*both)).alias("s")).select("s.*")
 
 
 def target_correlation(df: DataFrame, columns: Sequence[str], target: str,

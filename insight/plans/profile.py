@@ -240,16 +240,16 @@ def q_group_stats(spark, sf_dir):
         r(F.col("_q")[0]).alias("median_qty"), r("sd").alias("std_qty"))
 
 
-_LNUM = ["l_quantity", "l_extendedprice", "l_discount"]
+_LINE_FIGURES = ["l_quantity", "l_extendedprice", "l_discount"]
 
 
-@query("high_corr_lines", sql="WITH c AS (" + _corr_sql(_LNUM, "lineitem") + """),
+@query("high_corr_lines", sql="WITH c AS (" + _corr_sql(_LINE_FIGURES, "lineitem") + """),
 pos AS (SELECT * FROM (VALUES ('l_quantity', 0), ('l_extendedprice', 1), ('l_discount', 2)) v(name, i))
 SELECT DISTINCT col_b AS column_name FROM c JOIN pos pa ON pa.name = c.col_a
 JOIN pos pb ON pb.name = c.col_b WHERE pa.i < pb.i AND abs(corr) > 0.002""")
 def q_high_corr_lines(spark, sf_dir):
     """D13 where columns are reported: line figures above a low limit."""
-    return P.high_correlated_cols(Tables(spark, sf_dir).lineitem, _LNUM, 0.002)
+    return P.high_correlated_cols(Tables(spark, sf_dir).lineitem, _LINE_FIGURES, 0.002)
 
 
 _OCOLS = ["o_orderstatus", "o_orderpriority", "o_custkey"]
