@@ -10,9 +10,9 @@ prefixes are joined; the frequent postings are skipped, and counted only for
 pairs that meet in a prefix, by comparing the signatures.
 
 Groups of thousands of near copies are not enumerated as pairs: first every
-member of a posting list meets a few hubs of the list. What meets a hub and
-agrees with it in enough coordinates is a cluster; what is confirmed is joined
-to components. Two steps then cover all that is left: inside a cluster, the
+member of a posting list meets a few hubs of the list. What is confirmed is
+joined to components; a node's cluster is the component of most nodes that it
+agrees with in enough coordinates. Two steps then cover all that is left: inside a cluster, the
 members outside its largest component are compared with all members, tile by
 tile, and only links come out; between clusters, pairs that share a prefix
 posting are made, each once (in their least common posting), by letting the
@@ -50,7 +50,7 @@ NUM, DEN = 80, 100
 #: Hubs that a member of a posting list meets.
 HUBS = 4
 #: Nodes, and bytes of their sets, in a tile of a cluster.
-TILE_NODES, TILE_BYTES = 512, 16 << 20
+TILE_NODES, TILE_BYTES = 256, 16 << 20
 SALTS = 32
 _RNG = np.random.Generator(np.random.PCG64(20_260_101))
 ODD = _RNG.integers(1, 1 << 62, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -345,6 +345,19 @@ def labels_of(edges: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
+def clusters_of(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """(node, comp): the component that most of the nodes a node collides with are in.
+
+    Any split into clusters gives the same links; this one puts the copies of
+    a text that link with nothing beside the copies that do.
+    """
+    met = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")),
+                                         F.struct(F.col("b").alias("node"), F.col("a").alias("other")))).alias("m")).select("m.*")
+    placed = met.join(comps.select(F.col("node").alias("other"), "comp"), "other", "left")
+    votes = placed.groupBy("node", F.coalesce("comp", "other").alias("vote")).agg(F.count(F.lit(1)).alias("size"))
+    return votes.groupBy("node").agg(F.max(F.struct("size", "vote")).alias("most")).select("node", F.col("most.vote").alias("comp"))
+
+
 def all_links(classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """(node, comp) of the classes that link with others."""
     posts = written(prefixes(classes), "postings")
@@ -355,8 +368,9 @@ def all_links(classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     pairs = written(colliding(hub_pairs(posts)), "hub-pairs")
     texts = written(texts_of(nodes(pairs), classes, docs, width), "texts")
     edges = components(written(confirmed(pairs, texts, width), "hub-links"))
-    clusters = labels_of(components(pairs, edges))
-    members = (clusters.select("node", F.col("comp").alias("cluster")).join(labels_of(edges), "node", "left")
+    comps = labels_of(edges)
+    clusters = written(clusters_of(pairs, comps), "clusters")
+    members = (clusters.select("node", F.col("comp").alias("cluster")).join(comps, "node", "left")
                .withColumn("comp", F.coalesce("comp", "node")).join(classes.select("node", "n", "sketch"), "node"))
     inside = written(links_in_clusters(members, texts, width), "cluster-links")
     pairs = written(colliding(cross_pairs(posts, clusters)), "cross-pairs")

@@ -19,7 +19,7 @@ def test_equals_brute_force_on_documents(spark, width):
     assert found(near_dup.near_duplicates(docs, width)) == brute_components(rows, width)
 
 
-@pytest.mark.parametrize("tile", [512, 7])
+@pytest.mark.parametrize("tile", [256, 7])
 def test_group_of_near_copies_with_weak_hubs(spark, monkeypatch, tile):
     """Copies edited in several places: many pairs are not similar, yet all links must be kept."""
     monkeypatch.setattr(near_dup, "TILE_NODES", tile)
