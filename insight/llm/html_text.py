@@ -4,9 +4,12 @@ Every element gets its composite density: characters per tag, damped by the
 share of link characters and link tags (relative to the body's). An element's
 density sum is the sum over its children. After elements that are never main
 text (menus, footers, forms, scripts, adverts, comments by tag, role or class
-words) are left out, the element with the largest sum is the main text. If it
-lies in an ``article`` or ``main``, the whole of that is taken; else the least
-density on its path to the body is the threshold for lists of links in it.
+words) are left out, the element with the largest sum is looked for. If it
+lies in an ``article`` or ``main``, the whole of that is taken. Else the least
+density on its path to the body is a threshold: from the body down, every
+subtree that reaches it gives its element of the largest sum, and the main text
+is the least element that holds all of these, as a text may be split over
+siblings. In it, lists of links below the threshold are left out.
 
 Texts of one block join without a break, white space becomes one space, blocks
 join by an empty line. Defined cases: a null, empty or tag-only page has the
@@ -191,7 +194,37 @@ def main_element(page: Page, density: list[float], total: list[float]) -> tuple[
     while up > 0:
         path.append(density[up])
         up = page.parent[up]
-    return best, min(path, default=0.0)
+    least = min(path, default=0.0)
+    return holding(page, [best, *parts(page, density, total, least)] if path else [best]), least
+
+
+def parts(page: Page, density: list[float], total: list[float], least: float) -> list[int]:
+    """From the top down, the element of the largest sum of every subtree whose density reaches ``least``."""
+    n = len(page.tag)
+    worth = [t or d / 2 for t, d in zip(total, density)]
+    top = list(range(n))  # of each subtree the element worth most, the first of equals
+    for i in range(n - 1, 0, -1):
+        up = page.parent[i]
+        if not page.left_out[i] and (worth[top[i]], -top[i]) > (worth[top[up]], -top[up]):
+            top[up] = top[i]
+    found, taken, reached = [], [False] * n, [True] * n
+    for i in range(1, n):
+        up = page.parent[i]
+        taken[i] = taken[i] or taken[up]
+        reached[i] = reached[up] and density[i] >= least > 0 and not page.left_out[i]
+        if reached[i] and not taken[i] and not taken[top[i]]:
+            taken[top[i]] = True
+            found.append(top[i])
+    return found
+
+
+def holding(page: Page, elements: list[int]) -> int:
+    """The least element that holds all of these (element i's subtree is i to ``last[i]``)."""
+    first, end = min(elements), max(page.last[i] for i in elements)
+    at = first
+    while page.last[at] < end:
+        at = page.parent[at]
+    return at
 
 
 def main_text(html: str | None) -> str:

@@ -39,6 +39,22 @@ def test_density_finds_the_text_without_article():
     assert p.tag[best] == "div" and density[best] > 0
 
 
+def _paragraphs(name, n, size):
+    return [(f"{name} paragraph {k} " + "of the long main text " * size)[:size].strip() + "." for k in range(n)]
+
+
+@pytest.mark.parametrize("tag", ["section", "div"])
+@pytest.mark.parametrize("sizes", [(400, 400), (400, 400, 400), (400, 250, 90)])
+def test_text_split_over_siblings(tag, sizes):
+    """All parts and the title, nothing of the lists of links around and between."""
+    split = [_paragraphs(name, 5, size) for name, size in zip("ABC", sizes)]
+    links = "<ul><li><a href=x>Some other page</a><li><a href=y>One more page</a></ul>"
+    inner = links.join(f"<{tag}>" + "".join(f"<p>{p}</p>" for p in part) + f"</{tag}>" for part in split)
+    for around in ("<div id=c><h1>Title</h1>{}</div>", "<div><div id=c><h1>Title</h1>{}</div></div><div>Imprint, 2020</div>"):
+        page = f"<html><body>{links}{around.format(inner)}{links}</body></html>"
+        assert main_text(page).split("\n\n") == ["Title", *(p for part in split for p in part)]
+
+
 def test_pages_of_the_table(spark):
     """Every block between the article's tags, nothing of what stands around."""
     import html as entities
