@@ -4,12 +4,13 @@ Every element gets its composite density: characters per tag, damped by the
 share of link characters and link tags (relative to the body's). An element's
 density sum is the sum over its children. After elements that are never main
 text (menus, footers, forms, scripts, adverts, comments by tag, role or class
-words) are left out, the element with the largest sum is looked for. If it
-lies in an ``article`` or ``main``, the whole of that is taken. Else the least
-density on its path to the body is a threshold: from the body down, every
-subtree that reaches it gives its element of the largest sum, and the main text
-is the least element that holds all of these, as a text may be split over
-siblings. In it, lists of links below the threshold are left out.
+words) are left out, the element with the largest sum of the whole page is
+looked for. If it lies in an ``article`` or ``main``, it is widened to the whole
+of that. Else the least density on its path to the body is a threshold: from the
+body down, every subtree that reaches it gives its element of the largest sum,
+and the main text is the least element that holds all of these, as a text may be
+split over siblings. In it, lists of links below the threshold are left out, and
+articles beside the text that carry less than half of the largest sum (teasers).
 
 Texts of one block join without a break, white space becomes one space, blocks
 join by an empty line. Defined cases: a null, empty or tag-only page has the
@@ -24,6 +25,7 @@ from __future__ import annotations
 import math
 import re
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -173,29 +175,49 @@ def densities(page: Page) -> tuple[list[float], list[float], list[bool]]:
     return density, total, [2 * lc > c for lc, c in zip(link_chars, chars)]
 
 
-def main_element(page: Page, density: list[float], total: list[float]) -> tuple[int, float]:
-    """The element that holds the main text, and the density that link lists in it must have."""
-    inside = [False] * len(page.tag)
-    for i in range(1, len(page.tag)):
-        inside[i] = inside[page.parent[i]] or page.tag[i] in ("article", "main") and not page.left_out[i]
-    somewhere = any(inside[i] and page.chars[i] for i in range(len(page.tag)))
-    best = max(range(len(page.tag)), key=lambda i: (not somewhere or inside[i], total[i] or density[i] / 2, -i))
-    if somewhere:
+def main_element(page: Page, density: list[float], total: list[float]) -> tuple[int, float, set[int]]:
+    """The element that holds the main text, the density that link lists in it must have, and the teasers in it."""
+    n = len(page.tag)
+    named = [page.tag[i] in ("article", "main") and not page.left_out[i] for i in range(n)]
+    inside, holds, from_named, heaviest = named[:], [False] * n, [0.0] * n, [0] * n
+    for i in range(1, n):
+        inside[i] = named[i] or inside[page.parent[i]]
+    for i in range(n - 1, 0, -1):
+        up = page.parent[i]
+        holds[up] = holds[up] or holds[i] or named[i]
+        if holds[i] or named[i]:
+            from_named[up] += density[i]
+            if not heaviest[up] or density[i] >= density[heaviest[up]]:
+                heaviest[up] = i
+    worth = [t or d / 2 for t, d in zip(total, density)]
+    best = max(range(n), key=lambda i: (worth[i], -i))
+    while not inside[best] and heaviest[best] and 2 * density[heaviest[best]] > total[best]:  # most of the sum is one article's, or that of an element around it
+        best = heaviest[best]
+    if inside[best]:
         holder = best
-        while page.tag[holder] not in ("article", "main") or page.left_out[holder]:
+        while not named[holder]:
             holder = page.parent[holder]
         outer = page.parent[holder]
         while outer > 0:  # an article within an article is part of it; main gives way to its one article
             if page.tag[outer] == "article":
                 holder = outer
             outer = page.parent[outer]
-        return holder, 0.0
+        return holder, 0.0, set()
     path, up = [], page.parent[best]
     while up > 0:
         path.append(density[up])
         up = page.parent[up]
     least = min(path, default=0.0)
-    return holding(page, [best, *parts(page, density, total, least)] if path else [best]), least
+    of_named = [inside[i] or 2 * from_named[i] > total[i] for i in range(n)]
+    found = [best, *(i for i in (parts(page, density, total, least) if path else [])
+                     if not of_named[i] or 2 * worth[i] >= worth[best])]
+    kept = [0] * (n + 1)  # how many elements before i are in a part
+    for i in found:
+        if page.tag[i] not in ("#page", "html", "body") or of_named[i]:
+            kept[i + 1:page.last[i] + 2] = [1] * (page.last[i] + 1 - i)
+    kept = list(accumulate(kept))
+    teasers = {i for i in range(n) if named[i] and kept[page.last[i] + 1] == kept[i] and 2 * density[i] < worth[best]}
+    return holding(page, found), least, teasers
 
 
 def parts(page: Page, density: list[float], total: list[float], least: float) -> list[int]:
@@ -233,10 +255,10 @@ def main_text(html: str | None) -> str:
         return ""
     page = Page(html)
     density, total, mostly_links = densities(page)
-    top, least = main_element(page, density, total)
+    top, least, teasers = main_element(page, density, total)
     thin = [False] * len(page.tag)
     for i in range(top + 1, page.last[top] + 1):
-        thin[i] = thin[page.parent[i]] or mostly_links[i] and page.tag[i] in LISTS and density[i] < least
+        thin[i] = thin[page.parent[i]] or i in teasers or mostly_links[i] and page.tag[i] in LISTS and density[i] < least
     blocks, words = [], []
     for i, text in page.events:
         if i < top or i > page.last[top] or page.left_out[i] or thin[i]:

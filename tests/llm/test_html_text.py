@@ -55,6 +55,26 @@ def test_text_split_over_siblings(tag, sizes):
         assert main_text(page).split("\n\n") == ["Title", *(p for part in split for p in part)]
 
 
+TEASER = "<article class=card><h3>Teaser</h3><p>Read this other story, it is good.</p></article>"
+
+
+@pytest.mark.parametrize("around", [
+    "<div id=content>{}</div>" + TEASER * 3, TEASER + "<div id=content>{}</div>", "<div><div id=content>{}</div><div>" + TEASER * 4 + "</div></div>",
+    "{}" + TEASER, "<div id=c><section>{}</section></div><main></main>" + TEASER,
+    "<article>{}</article>" + TEASER, "<div><main>{}</main></div>" + TEASER * 2])
+def test_text_beside_teaser_articles(around):
+    """The sums of the whole page choose; an article only widens what they chose."""
+    text = _paragraphs("A", 4, 300)
+    page = "<html><body>" + around.format("".join(f"<p>{p}</p>" for p in text)) + "</body></html>"
+    assert main_text(page).split("\n\n") == text
+
+
+def test_split_text_beside_teaser_articles():
+    split = [_paragraphs(name, 5, 300) for name in "ABC"]
+    inner = "".join("<section>" + "".join(f"<p>{p}</p>" for p in part) + "</section>" for part in split)
+    assert main_text(f"<body>{inner}{TEASER * 2}</body>").split("\n\n") == [p for part in split for p in part]
+
+
 def test_pages_of_the_table(spark):
     """Every block between the article's tags, nothing of what stands around."""
     import html as entities
