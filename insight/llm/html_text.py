@@ -2,15 +2,17 @@
 
 Every element gets its composite density: characters per tag, damped by the
 share of link characters and link tags (relative to the body's). An element's
-density sum is the sum over its children. After elements that are never main
-text (menus, footers, forms, scripts, adverts, comments by tag, role or class
-words) are left out, the element with the largest sum of the whole page is
-looked for. If it lies in an ``article`` or ``main``, it is widened to the whole
-of that. Else the least density on its path to the body is a threshold: from the
-body down, every subtree that reaches it gives its element of the largest sum,
-and the main text is the least element that holds all of these, as a text may be
-split over siblings. In it, lists of links below the threshold are left out, and
-articles beside the text that carry less than half of the largest sum (teasers).
+density sum is the sum over its children. Left out first are elements that are
+never main text (scripts, buttons), and those that are not by tag, role or a
+whole class or id (menus, forms, adverts), unless the latter hold the bulk of
+the page's text; talk never does. Then the element with the largest sum of the
+whole page is looked for. If it lies in an ``article`` or ``main``, it is
+widened to the whole of that. Else the least density on its path to the body is
+a threshold: from the body down, every subtree that reaches it gives its element
+of the largest sum, and the main text is the least element that holds all of
+these, as a text may be split over siblings. In it, lists of links below the
+threshold are left out, and articles beside a longer text that carry less than
+half of the largest sum (teasers).
 
 Texts of one block join without a break, white space becomes one space, blocks
 join by an empty line. Defined cases: a null, empty or tag-only page has the
@@ -43,14 +45,27 @@ CLOSES = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-#: Never main text, by tag, ARIA role or a word of class or id.
-NOT_TEXT = frozenset(("head script style noscript template svg math canvas iframe object audio video nav footer aside form button select "
-                      "textarea input dialog menu search fieldset").split())
+#: Never main text.
+NO_TEXT = frozenset("head script style noscript template svg math canvas iframe object audio video button select textarea input".split())
+#: No main text unless it holds the bulk of the page's text, by tag, ARIA role, or a whole class or id of such words.
+NOT_TEXT = frozenset("nav footer aside form dialog menu search fieldset".split())
 NOT_ROLE = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 NOT_WORD = frozenset((
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
     "footer masthead menu modal nav navbar navigation newsletter notice pagination popup promo related responses share sharing sidebar "
     "signup social sponsor sponsored subscribe toolbar widget").split())
+#: What a class or id of several words may have besides.
+PART_WORD = frozenset((
+    "area bar block bottom box btn button buttons center container global holder icon icons inner item items left link links list lists "
+    "main outer post posts right section site slot top unit wrap wrapper x").split())
+#: Left out whatever its share of the text is: talk may be longer than what it is about.
+TALK = frozenset("comment comments disqus responses".split())
+#: Left out, too, unless an article is inside: a page of little text may have more of it there.
+NO_WRAP = frozenset((
+    "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs consent cookie cookies footer nav navbar navigation "
+    "newsletter promo signup sponsor sponsored subscribe").split())
+#: Least share of the page's text, links not counted, that is its bulk; and for what holds an article.
+BULK, BULK_ARTICLE = 2 / 3, 1 / 2
 #: What may be a list of links inside the main text of a page without ``article`` or ``main``.
 LISTS = frozenset("ul ol dl table div section".split())
 WORDS = re.compile(r"[a-z]+")
@@ -67,6 +82,7 @@ class Page(HTMLParser):
     def __init__(self, html: str) -> None:
         super().__init__(convert_charrefs=True)
         self.tag, self.parent, self.left_out, self.last = ["#page"], [-1], [False], [0]
+        self.doubtful, self.talk, self.no_wrap = [False], [False], [False]
         self.chars, self.link_chars, self.links = [0], [0], [0]
         self.events: list[tuple[int, str | None]] = []
         self.stack = [0]
@@ -84,7 +100,11 @@ class Page(HTMLParser):
         i = len(self.tag)
         self.tag.append(tag)
         self.parent.append(up)
-        self.left_out.append(self.left_out[up] or self._boilerplate(tag, attrs))
+        names = [self._words(token) for key, value in attrs if key in ("class", "id") for token in (value or "").lower().split()]
+        self.left_out.append(self.left_out[up] or self._never(tag, attrs, names))
+        self.doubtful.append(self._boilerplate(tag, attrs, names))
+        self.talk.append(any(w <= NOT_WORD | PART_WORD and w & TALK for w in names))
+        self.no_wrap.append(tag in ("nav", "footer") or any(w <= NOT_WORD | PART_WORD and w & NO_WRAP for w in names))
         self.last.append(i)
         self.chars.append(0)
         self.link_chars.append(0)
@@ -99,18 +119,39 @@ class Page(HTMLParser):
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
 
-    def _boilerplate(self, tag: str, attrs: list) -> bool:
+    @staticmethod
+    def _words(token: str) -> set[str]:
+        return set(WORDS.findall(token))
+
+    @staticmethod
+    def _never(tag: str, attrs: list, names: list[set[str]]) -> bool:
+        if tag in ("html", "body", "article", "main"):
+            return tag == "article" and any("comment" in w for w in names)
+        return tag in NO_TEXT or any(key == "hidden" for key, _ in attrs)
+
+    def _boilerplate(self, tag: str, attrs: list, names: list[set[str]]) -> bool:
+        if tag in ("html", "body", "article", "main"):
+            return False
         if tag in NOT_TEXT or tag == "header" and not any(self.tag[s] in ("article", "main") for s in self.stack):
             return True
-        if tag in ("html", "body", "article", "main"):
-            names = {k: v or "" for k, v in attrs if k in ("class", "id")}
-            return tag == "article" and "comment" in WORDS.findall(" ".join(names.values()).lower())
-        for key, value in attrs:
-            if key == "hidden" or key == "role" and (value or "").lower() in NOT_ROLE:
-                return True
-            if key in ("class", "id") and not NOT_WORD.isdisjoint(WORDS.findall((value or "").lower())):
-                return True
-        return False
+        return (any(key == "role" and (value or "").lower() in NOT_ROLE for key, value in attrs)
+                or any(w & NOT_WORD and w <= NOT_WORD | PART_WORD for w in names))
+
+    def _leave_out(self) -> None:
+        """Doubtful elements without the bulk of the text, and all that is in them."""
+        n = len(self.tag)
+        text = [0 if out else c - lc for c, lc, out in zip(self.chars, self.link_chars, self.left_out)]
+        article, main = ([t == name and not out for t, out in zip(self.tag, self.left_out)] for name in ("article", "main"))
+        for i in range(n - 1, 0, -1):
+            up = self.parent[i]
+            text[up] += text[i]
+            article[up] = article[up] or article[i]
+            main[up] = main[up] or main[i]
+        for i in range(1, n):
+            bulk = text[i] and (main[i] or text[i] >= (BULK_ARTICLE if article[i] else BULK) * text[0]
+                                and (article[i] or not self.no_wrap[i]))
+            if self.left_out[self.parent[i]] or self.doubtful[i] and (self.talk[i] or not bulk):
+                self.left_out[i] = True
 
     def handle_endtag(self, tag: str) -> None:
         if tag not in VOID:
@@ -140,6 +181,7 @@ class Page(HTMLParser):
         super().close()
         for s in self.stack:
             self.last[s] = len(self.tag) - 1
+        self._leave_out()
 
     def handle_data(self, data: str) -> None:
         i = self.stack[-1]
@@ -216,7 +258,11 @@ def main_element(page: Page, density: list[float], total: list[float]) -> tuple[
         if page.tag[i] not in ("#page", "html", "body") or of_named[i]:
             kept[i + 1:page.last[i] + 2] = [1] * (page.last[i] + 1 - i)
     kept = list(accumulate(kept))
-    teasers = {i for i in range(n) if named[i] and kept[page.last[i] + 1] == kept[i] and 2 * density[i] < worth[best]}
+    chars = [0 if out else c for c, out in zip(page.chars, page.left_out)]
+    other = sum(c for c, within in zip(chars, inside) if not within)
+    before = [0, *accumulate(chars)]
+    teasers = {i for i in range(n) if named[i] and kept[page.last[i] + 1] == kept[i] and 2 * density[i] < worth[best]
+               and before[page.last[i] + 1] - before[i] < other}
     return holding(page, found), least, teasers
 
 

@@ -75,6 +75,29 @@ def test_split_text_beside_teaser_articles():
     assert main_text(f"<body>{inner}{TEASER * 2}</body>").split("\n\n") == [p for part in split for p in part]
 
 
+@pytest.mark.parametrize("around", [
+    "<div class='page has-sidebar'>{}</div>", "<div class=no-sidebar><article>{}</article></div>", "<form action=x>{}</form>",
+    "<form><div class=sidebar><a href=x>Home</a></div><article>{}</article><div class=comments><p>Nice</div></form>",
+    "<div class=widget>{}</div><footer>Imprint 2020</footer>", "<div class='comments-open'><div>{}</div></div>",
+    "<section role=search class=modal><main>{}</main></section>"])
+def test_names_do_not_empty_a_page(around):
+    text = _paragraphs("A", 4, 200)
+    assert main_text("<html><body>" + around.format("".join(f"<p>{p}</p>" for p in text)) + "</body></html>").split("\n\n") == text
+
+
+def test_little_text_beside_a_long_footer():
+    rest = "<div class=ad>Buy this, it is long and good for you, really</div><footer>All rights reserved, imprint, contact, and much more</footer>"
+    assert main_text(f"<body><article><h1>T</h1></article>{rest}</body>") == "T"
+    assert main_text(f"<body>{rest}</body>") == ""
+
+
+def test_names_of_parts_are_matched_whole():
+    page = ("<article><p>One.</p><section id='social-impact'><h2 id='related-work'>Work</h2><p>Two.</p></section><div class='comments-open'>Three."
+            "</div><div class='share-buttons x'>no</div><div id=main-nav>no</div><div class='related-posts'>no</div><div class=ad-300x250>no</div>"
+            "<form>no</form><div class='comment-list'>" + "<p>much longer talk than the text</p>" * 20 + "</div></article>")
+    assert main_text(page).split("\n\n") == ["One.", "Work", "Two.", "Three."]
+
+
 def test_pages_of_the_table(spark):
     """Every block between the article's tags, nothing of what stands around."""
     import html as entities
