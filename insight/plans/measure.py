@@ -146,4 +146,5 @@ def q_shapiro(spark, sf_dir):
     """M8: normality of order value for the two priority groups."""
     o = Tables(spark, sf_dir).orders.where(F.col("o_orderpriority").isin("1-URGENT", "5-LOW"))
     sw = M.shapiro_wilk(o, "o_totalprice", "o_orderpriority")
-    return sw.select("o_orderpriority", "n", r("w_stat").alias("w_stat"), r("p_value").alias("p_value"))
+    return sw.select("o_orderpriority", "n", r("w_stat").alias("w_stat"), r("ks_stat").alias("ks_stat"),
+                     r("p_value").alias("p_value"), "test")
