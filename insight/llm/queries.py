@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from insight.llm import bpe, chat, html_text, licenses, mixing, near_dup, quality, secrets, token_counts, topk
+from insight.llm import bpe, chat, collocations, html_text, licenses, mixing, near_dup, quality, secrets, token_counts, topk
 from insight.llm.common import table
 from insight.llm.tokens import public
 
@@ -257,3 +257,37 @@ FROM reach LEFT JOIN sz ON sz.doc_id = reach.doc_id GROUP BY reach.doc_id"""
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 2-word shingle sets are at least 80% alike."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
+PHRASE_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+spots AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3 FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w)),
+totals AS (SELECT lang, count(*)::BIGINT AS n FROM spots GROUP BY lang),
+f1 AS (SELECT lang, w1 AS p, count(*) AS f FROM spots GROUP BY ALL HAVING count(*) >= 10),
+f2 AS (SELECT lang, w1, w2, w1 || ' ' || w2 AS p, count(*) AS f FROM spots WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, w1 || ' ' || w2 AS p1, w2 || ' ' || w3 AS p2, w1, w3, w1 || ' ' || w2 || ' ' || w3 AS p, count(*) AS f
+       FROM spots WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+holders AS (SELECT lang, p, max(f) AS f FROM (SELECT lang, p1 AS p, f FROM f3 UNION ALL SELECT lang, p2, f FROM f3) GROUP BY ALL),
+cuts AS (
+  SELECT f2.lang, f2.p AS phrase, f2.f AS a, 1 AS k, x.f AS l, y.f AS r
+  FROM f2 JOIN f1 x ON x.lang = f2.lang AND x.p = f2.w1 JOIN f1 y ON y.lang = f2.lang AND y.p = f2.w2
+  LEFT JOIN holders h ON h.lang = f2.lang AND h.p = f2.p WHERE h.f IS NULL OR 100 * h.f < 50 * f2.f
+  UNION ALL SELECT f3.lang, f3.p, f3.f, 1, x.f, y.f
+  FROM f3 JOIN f1 x ON x.lang = f3.lang AND x.p = f3.w1 JOIN f2 y ON y.lang = f3.lang AND y.p = f3.p2
+  UNION ALL SELECT f3.lang, f3.p, f3.f, 2, x.f, y.f
+  FROM f3 JOIN f2 x ON x.lang = f3.lang AND x.p = f3.p1 JOIN f1 y ON y.lang = f3.lang AND y.p = f3.w3),
+scored AS (SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cuts),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest JOIN totals USING (lang))
+WHERE rank <= 2000"""
+
+
+@query("op13_collocations", PHRASE_SQL)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 best phrases of two and three words."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=10, top=2000)
