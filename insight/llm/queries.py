@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from insight.llm import bpe, chat, collocations, html_text, licenses, mixing, near_dup, quality, secrets, token_counts, topk
+from insight.llm import bpe, chat, collocations, hard_negatives, html_text, licenses, mixing, near_dup, quality, secrets, token_counts, topk
 from insight.llm.common import table
 from insight.llm.tokens import public
 
@@ -291,3 +291,28 @@ WHERE rank <= 2000"""
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each language's 2,000 best phrases of two and three words."""
     return collocations.collocations(table(spark, sf_dir, "documents"), least=10, top=2000)
+
+
+NEGATIVE_SQL = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+good AS (SELECT * FROM p WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT g.anchor_id, g.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY g.anchor_id, g.vec_id ORDER BY n.score DESC, n.vec_id)::INT AS rank,
+       n.vec_id AS negative_id, g.score AS positive_score, n.score AS negative_score
+FROM good g JOIN p n ON n.anchor_id = g.anchor_id AND NOT n.same AND 30 * g.score <= 100 * n.score AND 100 * n.score <= 90 * g.score
+QUALIFY rank <= 10"""
+
+
+@query("op11_hard_negatives", NEGATIVE_SQL)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector and each of its five best positives."""
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.quantised(vectors.withColumn("label", label))
+    return hard_negatives.hard_negatives(rows, rows.filter(F.col("vec_id") % 100 == 0), positives=5, negatives=10, low=30, high=90)
