@@ -313,9 +313,12 @@ def products(asked: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def search(asks: DataFrame, tree: Tree, index: DataFrame, k: int, same: bool, home: bool) -> DataFrame:
-    """(vec_id, window, score, found): each window's k best rows of the same or another label, per block read."""
+    """(vec_id, window, score, found): each window's k best rows of the same or another label, per block read.
+
+    A merge join: blocks grow with the table, and their compressed size on disk would pass for small enough to broadcast.
+    """
     asked = tiles(asks, tree, home).withColumnRenamed("leaf", "q_leaf").withColumnRenamed("slot", "q_slot").withColumnRenamed("dim", "q_dim")
-    met = asked.join(index, (F.col("leaf") == F.col("q_leaf")) & (F.col("slot") == F.col("q_slot")) & (F.col("dim") == F.col("q_dim")))
+    met = asked.join(index.hint("merge"), (F.col("leaf") == F.col("q_leaf")) & (F.col("slot") == F.col("q_slot")) & (F.col("dim") == F.col("q_dim")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -354,7 +357,7 @@ def two_rounds(asks: DataFrame, tree: Tree, index: DataFrame, k: int, same: bool
     first = written(best(search(asks, tree, index, k, same, home=True), k), f"negatives-{name}-own")
     edge = first.filter(F.col("rank") == k).groupBy("vec_id").agg(
         F.map_from_entries(F.collect_list(F.struct("window", "score"))).alias("edge"))  # an entry per window
-    narrowed = asks.join(edge.withColumnRenamed("vec_id", "e_id"), F.col("vec_id") == F.col("e_id"), "left").select(
+    narrowed = asks.join(edge.withColumnRenamed("vec_id", "e_id").hint("merge"), F.col("vec_id") == F.col("e_id"), "left").select(
         "vec_id", "label", "v", F.transform("lows", lambda low, w: F.coalesce(F.try_element_at("edge", w.cast("int")), low)).alias("lows"), "highs")
     rest = search(narrowed, tree, index, k, same, home=False)
     return best(first.drop("rank").unionByName(rest), k)
@@ -392,11 +395,11 @@ def hard_negatives(rows: DataFrame, anchors: DataFrame, positives: int = 5, nega
         return F.transform(F.sequence(F.lit(0), F.lit(positives - 1)),
                            lambda w: F.coalesce(make(F.get(F.col("good"), w)["score"]), F.lit(none)).cast("long"))
 
-    asks = asked.join(of, F.col("vec_id") == F.col("p_id")).select(
+    asks = asked.join(of.hint("merge"), F.col("vec_id") == F.col("p_id")).select(
         "vec_id", "label", "v", limits(lambda s: -floor_div(F.lit(-low) * s, 100), NO_HIGH).alias("lows"),
         limits(lambda s: floor_div(F.lit(high) * s, 100), NO_LOW).alias("highs"))
     bad = two_rounds(written(asks, "negatives-asks"), tree, index, negatives, False, "negatives")
     pos = good.select(F.col("vec_id").alias("anchor_id"), (F.col("rank") - 1).alias("at"), F.col("found").alias("positive_id"),
                       F.col("score").alias("positive_score"))
-    return bad.join(pos, (F.col("vec_id") == F.col("anchor_id")) & (F.col("window") == F.col("at"))).select(
+    return bad.join(pos.hint("merge"), (F.col("vec_id") == F.col("anchor_id")) & (F.col("window") == F.col("at"))).select(
         "anchor_id", "positive_id", "rank", F.col("found").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))
