@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from insight.llm import bpe, chat, collocations, hard_negatives, html_text, licenses, mixing, near_dup, quality, secrets, token_counts, topk
+from insight.llm import bpe, chat, collocations, hard_negatives, html_text, licenses, mixing, near_dup, pii, quality, secrets, token_counts, topk
 from insight.llm.common import table
 from insight.llm.tokens import public
 
@@ -316,3 +316,21 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = hard_negatives.quantised(vectors.withColumn("label", label))
     return hard_negatives.hard_negatives(rows, rows.filter(F.col("vec_id") % 100 == 0), positives=5, negatives=10, low=30, high=90)
+
+
+@query("op12_personal_data")
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, the digest of the base spans, and all spans of every document."""
+    docs = table(spark, sf_dir, "documents")
+    found = pii.scan(docs, pii.trained(docs))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
+
+    def n_of(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.KINDS))
+    return found.select(
+        "doc_id", *[n_of(k) for k in pii.KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
