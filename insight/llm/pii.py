@@ -59,10 +59,10 @@ LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012
 #: characters on each side of a match, passes over the windows.
 SAMPLE = 300
 SAMPLE_CHARS = 20_000
-EXAMPLES = 600
+EXAMPLES = 1_000
 CONTEXT = 24
 REWRITES = 4
-EPOCHS = 5
+EPOCHS = 6
 SEED = 20
 #: Tokens of a segment at most, characters that it reaches beyond its outermost mark, hashed features.
 MOST_TOKENS = 16
@@ -366,6 +366,8 @@ def fit(given: list[tuple[Region, list[tuple[int, int, int]]]], epochs: int = EP
     crf = Crf(np.zeros((t - 1, FEATURES)), np.zeros((t, t)))
     w_sum, m_sum = np.full_like(crf.weights, 1e-6), np.full_like(crf.follows, 1e-6)
     feats = [Crf.features(r) for r, _ in given]
+    flat = [np.unique(np.concatenate(f), return_inverse=True) if f else None for f in feats]
+    rows = [np.repeat(np.arange(len(f)), [len(x) for x in f]) for f in feats]
     order, rnd = list(range(len(given))), random.Random(SEED)
     for _ in range(epochs):
         rnd.shuffle(order)
@@ -374,15 +376,13 @@ def fit(given: list[tuple[Region, list[tuple[int, int, int]]]], epochs: int = EP
             g = moves + decay * crf.follows
             m_sum += g * g
             crf.follows -= rate * g / np.sqrt(m_sum)
-            step: dict[int, np.ndarray] = {}
-            for f, u in zip(feats[n], used):
-                if np.abs(u).max() > 1e-4:
-                    for x in f.tolist():
-                        step[x] = step.get(x, 0) + u
-            for x, u in step.items():
-                u = u + decay * crf.weights[:, x]
-                w_sum[:, x] += u * u
-                crf.weights[:, x] -= rate * u / np.sqrt(w_sum[:, x])
+            if flat[n]:
+                names, at = flat[n]
+                step = np.zeros((len(names), t - 1))
+                np.add.at(step, at, used[rows[n]])
+                step = step.T + decay * crf.weights[:, names]
+                w_sum[:, names] += step * step
+                crf.weights[:, names] -= rate * step / np.sqrt(w_sum[:, names])
     return crf
 
 
