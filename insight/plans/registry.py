@@ -48,6 +48,7 @@ def load_all() -> None:
         crm,
         measure,
         ml,
+        neighbours,
         prep,
         profile,
         recommend,
