@@ -51,3 +51,11 @@ def test_segments_agree_with_conversations(spark):
 
 def test_no_rows(spark):
     assert chat.conversations(frame(spark, [])).collect() == []
+
+
+def test_query_holds_the_role_machine(spark):
+    from insight.llm.queries import QUERIES
+    made = QUERIES["op9_chat_format"](spark, "/root/testdata/sf0.001")
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" in plan and "system" in plan
+    assert {r.valid for r in made.filter("conv_id = -1").collect()} == {True}
