@@ -1,16 +1,17 @@
 """Secret scan: all rules as one minimal automaton, one pass over the bytes.
 
 The combined automaton says at each byte which rules have a match that ends
-there. Only at such a byte, a rule's own reversed automaton finds the leftmost
-start (not before the end of the rule's last match) and its forward automaton
-the longest end. Matches of a rule are leftmost, longest, non-overlapping; a
+there. Only at such a byte, a rule's own automaton, read on from the end of the
+rule's last match, says whether one that begins behind it ends here; its reversed
+automaton finds the leftmost start and its forward one the longest end. Matches of a rule are leftmost, longest, non-overlapping; a
 match shorter than its rule asks is used up and dropped. Offsets are code
 points, end exclusive.
 
 Defined cases: a null or empty text has no spans; multi-byte characters never
 match a rule; repeated rows give repeated results; an empty table gives no
 rows. Only the id and text columns are read by ``scan``; ``redact`` passes all
-other columns through untouched. A text of any length is one pass.
+other columns through untouched. A text of any length is
+one pass, and one more of a rule behind its first match.
 """
 
 from __future__ import annotations
@@ -83,6 +84,7 @@ class Scanner:
                      for s in order if combined.marks[s]}
         self.forward = [compile_rules([(r.pattern, r.fold)], anywhere=False) for r in rules]
         self.backward = [compile_rules([(scan_pattern(r), r.fold)], anywhere=False, reverse=True) for r in rules]
+        self.own = [compile_rules([(scan_pattern(r), r.fold)], anywhere=True) for r in rules]
         self.heads = [compile_rules([(r.head, r.fold)], anywhere=False) if r.head else None for r in rules]
         self.dead = {id(d): _dead(d) for d in (*self.forward, *self.backward, *self.heads) if d}
 
@@ -102,15 +104,25 @@ class Scanner:
     def spans(self, data: bytes) -> list[tuple[int, int, int]]:
         found: list[tuple[int, int, int]] = []
         after = [0] * len(self.rules)
+        fresh = [(0, 0)] * len(self.rules)
         table, state, marked = self.table, self.start, self.marked
         for at, byte in enumerate(data, 1):
             state = table[state + byte]
             if state >= marked:
                 for i in self.bits[state]:
-                    if at > after[i]:
+                    if at > after[i] and (not after[i] or self._ends(i, data, at, after, fresh)):
                         self._take(i, data, at, after, found)
         return sorted(found, key=lambda m: (m[0], m[2]))
 
+    def _ends(self, i: int, data: bytes, at: int, after: list[int], fresh: list[tuple[int, int]]) -> bool:
+        """Whether a match that begins behind the rule's last one ends at ``at``; ``fresh`` keeps how far was read, and the state."""
+        here, state = fresh[i] if fresh[i][0] >= after[i] else (after[i], 0)
+        table = self.own[i].table
+        for byte in data[here:at]:
+            state = table[state * 256 + byte]
+        fresh[i] = at, state
+        return bool(self.own[i].marks[state])
+
     def _take(self, i: int, data: bytes, at: int, after: list[int], found: list) -> None:
         start = self._walk(self.backward[i], data, at, after[i], -1)
         if start < 0:

@@ -50,3 +50,14 @@ def test_redaction_and_odd_rows(spark):
     assert secrets.scan(no_docs(spark)).collect() == []
     assert secrets.redacted("é token = 'abcdefabcdefabcdef0' z") == "é [assign]' z"
     assert len(secrets.scan(docs).filter(F.size("spans") > 0).collect()) == 0
+
+
+def test_a_part_too_many_takes_linear_time():
+    """Every byte of the last part ends a match that would begin inside the one before."""
+    import time
+    from insight.llm.secrets import scanner
+    text = "eyJ" + "a" * 30 + ".eyJ" + "b" * 30 + ".eyJ" + "c" * 30 + "." + "d" * 1_000_000
+    t0 = time.time()
+    spans = scanner().text_spans(text)
+    assert time.time() - t0 < 20
+    assert [(s, e) for s, e, i in spans if scanner().rules[i].kind == "jwt"] == [(0, 101)]
