@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import defaultdict
 from html.parser import HTMLParser
 from itertools import accumulate
 
@@ -52,14 +53,20 @@ NOT_TEXT = frozenset("nav footer aside form dialog menu search fieldset".split()
 NOT_ROLE = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 NOT_WORD = frozenset((
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
+    "commentarea commentbox commentform commentlist commentthread discussion discussions gdpr replies adsbygoogle "
     "footer masthead menu modal nav navbar navigation newsletter notice pagination popup promo related responses share sharing sidebar "
     "signup social sponsor sponsored subscribe toolbar widget").split())
+#: A class or id of other words, too, that ends with one of these (``reader-comments``), unless a word of ``STATE`` is in it (``has-sidebar``).
+LAST_WORD = frozenset((
+    "ads advert adverts advertisement breadcrumb breadcrumbs comment comments cookies navbar newsletter pagination replies responses "
+    "sidebar").split())
+STATE = frozenset("has is no not with without hide show open closed".split())
 #: What a class or id of several words may have besides.
 PART_WORD = frozenset((
-    "area bar block bottom box btn button buttons center container global holder icon icons inner item items left link links list lists "
+    "articles body content form respond stories thread area bar block bottom box btn button buttons center container global holder icon icons inner item items left link links list lists "
     "main outer post posts right section site slot top unit wrap wrapper x").split())
 #: Left out whatever its share of the text is: talk may be longer than what it is about.
-TALK = frozenset("comment comments disqus responses".split())
+TALK = frozenset("comment commentarea commentbox commentform commentlist comments commentthread disqus responses".split())
 #: Left out, too, unless an article is inside: a page of little text may have more of it there.
 NO_WRAP = frozenset((
     "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs consent cookie cookies footer nav navbar navigation "
@@ -86,6 +93,8 @@ class Page(HTMLParser):
         self.chars, self.link_chars, self.links = [0], [0], [0]
         self.events: list[tuple[int, str | None]] = []
         self.stack = [0]
+        self.open: dict[str, list[int]] = defaultdict(list)  # open elements by tag, and all open blocks under ""
+        self.gone: set[int] = set()  # closed, but still in the stack
         self.feed(HALF_TAG.sub("", html))
         self.close()
 
@@ -100,11 +109,12 @@ class Page(HTMLParser):
         i = len(self.tag)
         self.tag.append(tag)
         self.parent.append(up)
-        names = [self._words(token) for key, value in attrs if key in ("class", "id") for token in (value or "").lower().split()]
+        names = [self._words(token) for key, value in attrs if key in ("class", "id") for token in (value or "").lower().split()
+                 if (key, token, tag) != ("id", "discussion", "section")]  # a part of many papers
         self.left_out.append(self.left_out[up] or self._never(tag, attrs, names))
         self.doubtful.append(self._boilerplate(tag, attrs, names))
-        self.talk.append(any(w <= NOT_WORD | PART_WORD and w & TALK for w in names))
-        self.no_wrap.append(tag in ("nav", "footer") or any(w <= NOT_WORD | PART_WORD and w & NO_WRAP for w in names))
+        self.talk.append(any(self._named(w) and TALK.intersection(w) for w in names))
+        self.no_wrap.append(tag in ("nav", "footer") or any(self._named(w) and NO_WRAP.intersection(w) for w in names))
         self.last.append(i)
         self.chars.append(0)
         self.link_chars.append(0)
@@ -115,27 +125,37 @@ class Page(HTMLParser):
             self.events.append((i, " "))
         if tag not in VOID:
             self.stack.append(i)
+            self.open[tag].append(i)
+            if tag in BLOCK:
+                self.open[""].append(i)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
 
     @staticmethod
-    def _words(token: str) -> set[str]:
-        return set(WORDS.findall(token))
+    def _words(token: str) -> list[str]:
+        return WORDS.findall(token)
 
     @staticmethod
-    def _never(tag: str, attrs: list, names: list[set[str]]) -> bool:
+    def _named(words: list[str]) -> bool:
+        """Whether the words of one class or id name what is no main text."""
+        if not NOT_WORD.intersection(words):
+            return False
+        return NOT_WORD.union(PART_WORD).issuperset(words) or words[-1] in LAST_WORD and not STATE.intersection(words)
+
+    @staticmethod
+    def _never(tag: str, attrs: list, names: list[list[str]]) -> bool:
         if tag in ("html", "body", "article", "main"):
             return tag == "article" and any("comment" in w for w in names)
         return tag in NO_TEXT or any(key == "hidden" for key, _ in attrs)
 
-    def _boilerplate(self, tag: str, attrs: list, names: list[set[str]]) -> bool:
+    def _boilerplate(self, tag: str, attrs: list, names: list[list[str]]) -> bool:
         if tag in ("html", "body", "article", "main"):
             return False
-        if tag in NOT_TEXT or tag == "header" and not any(self.tag[s] in ("article", "main") for s in self.stack):
+        if tag in NOT_TEXT or tag == "header" and not self.open["article"] and not self.open["main"]:
             return True
         return (any(key == "role" and (value or "").lower() in NOT_ROLE for key, value in attrs)
-                or any(w & NOT_WORD and w <= NOT_WORD | PART_WORD for w in names))
+                or any(self._named(w) for w in names))
 
     def _leave_out(self) -> None:
         """Doubtful elements without the bulk of the text, and all that is in them."""
@@ -159,28 +179,34 @@ class Page(HTMLParser):
 
     def _end(self, tag: str, inside: set[str]) -> None:
         """Close the nearest open ``tag``, and what is open in it, unless an element of ``inside`` is nearer."""
-        for at in range(len(self.stack) - 1, 0, -1):
-            t = self.tag[self.stack[at]]
-            if t == tag:
-                break
-            if t in inside:
-                return
-        else:
+        if not self.open[tag]:
+            return
+        closed = self.open[tag][-1]
+        if any(self.open[t] and self.open[t][-1] > closed for t in inside):
             return
-        above = self.stack[at + 1:]
-        if tag not in BLOCK and any(self.tag[s] in BLOCK for s in above):
-            del self.stack[at]  # a text mark that crosses a block ends alone
+        if tag not in BLOCK and self.open[""] and self.open[""][-1] > closed:
+            self.open[tag].pop()  # a text mark that crosses a block ends alone
+            self.gone.add(closed)
             return
-        for s in reversed(self.stack[at:]):
+        s = -1
+        while s != closed:
+            s = self.stack.pop()
+            if s in self.gone:
+                self.gone.discard(s)
+                continue
             self.last[s] = len(self.tag) - 1
+            self.open[self.tag[s]].pop()
             if self.tag[s] in BLOCK:
+                self.open[""].pop()
                 self.events.append((s, None))
-        del self.stack[at:]
+        while self.stack[-1] in self.gone:
+            self.gone.discard(self.stack.pop())
 
     def close(self) -> None:
         super().close()
         for s in self.stack:
-            self.last[s] = len(self.tag) - 1
+            if s not in self.gone:
+                self.last[s] = len(self.tag) - 1
         self._leave_out()
 
     def handle_data(self, data: str) -> None:
@@ -189,7 +215,7 @@ class Page(HTMLParser):
         if not self.left_out[i]:
             n = len("".join(data.split()))
             self.chars[i] += n
-            if any(self.tag[s] == "a" for s in self.stack):
+            if self.open["a"]:
                 self.link_chars[i] += n
 
 

@@ -98,6 +98,36 @@ def test_names_of_parts_are_matched_whole():
     assert main_text(page).split("\n\n") == ["One.", "Work", "Two.", "Three."]
 
 
+@pytest.mark.parametrize("name", [
+    "reader-comments", "disqus_thread", "comment-thread", "commentlist", "comment-respond", "user-comments", "discussion", "replies",
+    "gdpr-banner", "adsbygoogle", "newsletter-form", "related-articles"])
+@pytest.mark.parametrize("key", ["class", "id"])
+def test_boxes_inside_an_article_go(name, key):
+    text = _paragraphs("A", 2, 300)
+    box = f"<div {key}='{name}'><p>What a read, thank you so much for it.</p><ul><li>More of it</ul></div>"
+    page = "<body><article><h1>T</h1>" + box.join(f"<p>{p}</p>" for p in text) + box + "</article></body>"
+    assert main_text(page).split("\n\n") == ["T", *text]
+
+
+@pytest.mark.parametrize("around", ["<div class=has-sidebar>{}</div>", "<section id=social-impact>{}</section>", "<section id=discussion>{}</section>",
+                                    "<form>{}</form>", "<div class='elementor-widget'>{}</div>", "<div class=page-with-comments>{}</div>"])
+def test_names_that_only_sound_alike_stay(around):
+    text = _paragraphs("A", 3, 300)
+    page = "<body><article><p>" + text[0] + "</p>" + around.format("".join(f"<p>{p}</p>" for p in text[1:])) + "</article></body>"
+    assert main_text(page).split("\n\n") == text
+
+
+@pytest.mark.parametrize("unit", ["<i>x", "<b><div>x</b>", "<p><i>x", "<a>x<p>", "<table><td>x", "<div>x", "</i><i>x<div></div>", "<li>x<b>", "<x><p>a</x>"])
+def test_100_000_open_tags_take_linear_time(unit):
+    import time
+    took = []
+    for n in (25_000, 100_000):
+        t0 = time.time()
+        main_text("<body>" + unit * n)
+        took.append(time.time() - t0)
+    assert took[1] < 9 * max(took[0], .2), took
+
+
 def test_pages_of_the_table(spark):
     """Every block between the article's tags, nothing of what stands around."""
     import html as entities
