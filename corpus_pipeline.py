@@ -5,8 +5,9 @@ on, with the columns it was given; the last returns ids, token counts and
 digests. ``run`` writes each stage's result to the shared checkpoint folder and
 reads it again, so a lost executor costs a re-read and no stage is run twice.
 
-Defined cases: null and empty texts fail the first stage; a null id is never a
-duplicate; rows that repeat an id leave the second stage once; null sources
+Defined cases: null and empty texts fail the first stage; rows whose id is null or
+repeated are documents of their own in the second and fourth stage, so different
+texts under one id both stay and equal ones leave one; null sources
 are mixed as a source of their own; an empty table passes as an empty table;
 extra columns are carried along, whatever their names.
 """
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from insight.llm import bpe, mixing, near_dup, quality, secrets
-from insight.llm.common import table, written
+from insight.llm.common import row_keys, table, written
 from insight.llm.tokens import public
 
 
@@ -30,10 +31,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near-duplicates (5-word shingles, similarity 0.8 or more)."""
-    found = near_dup.near_duplicates(docs, width=5)
-    stay = found.filter("kept and doc_id is not null").select(F.col("doc_id").alias("stay_id")).distinct()
-    one = docs.join(stay, docs["doc_id"] == stay["stay_id"], "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.filter(docs["doc_id"].isNull()))
+    keyed, key = row_keys(docs)
+    found = near_dup.near_duplicates(keyed, width=5, id_col=key)
+    stay = found.filter("kept").select(F.col("doc_id").alias("stay_id"))
+    return keyed.join(stay, keyed[key] == stay["stay_id"], "left_semi").drop(key)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

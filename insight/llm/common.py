@@ -85,3 +85,26 @@ def parts(data: bytes, most: int = PART_BYTES) -> Iterator[bytes]:
         yield data[at:cut.start()]
         at = cut.end()
     yield data[at:]
+
+
+def row_keys(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, str]:
+    """``docs`` with a long column, named apart from the others, that no two rows share, and its name.
+
+    A row whose id is no other row's keeps it; rows with a null or repeated id get keys above all ids. Only where there
+    are such rows are the documents written, so that the keys do not change. Ids are below 2**62.
+    """
+    name = "row_key"
+    while name in docs.columns:
+        name += "_"
+    key = F.col(id_col).cast("long")
+    again = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col(id_col).isNull())
+    if again.isEmpty():
+        return docs.withColumn(name, key), name
+    most = docs.agg(F.max(key)).first()[0] or 0
+    if most >= 1 << 62:
+        raise ValueError("ids are 2**62 or more and not unique")
+    again = again.select(F.col(id_col).alias(name + "again"))
+    rows = docs.join(again, docs[id_col].eqNullSafe(again[name + "again"]), "left")
+    null_or_again = docs[id_col].isNull() | F.col(name + "again").isNotNull()
+    fresh = F.lit(max(most, 0) + 1) + F.monotonically_increasing_id()
+    return written(rows.withColumn(name, F.when(null_or_again, fresh).otherwise(key)).drop(name + "again"), "row-keys"), name

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from insight.llm.common import word_count, written
+from insight.llm.common import row_keys, word_count, written
 
 #: Rows per bucket of a prefix sum.
 BUCKET = 5_000
@@ -155,9 +155,9 @@ def taken_epochs(key: tuple | None, id_type: str, max_epochs: int = 3) -> Column
     return reduce(lambda a, b: a + b, hits).cast("long")
 
 
-def plan(docs: DataFrame, n_weights: int = 3, max_epochs: int = 3) -> DataFrame:
+def plan(docs: DataFrame, n_weights: int = 3, max_epochs: int = 3, id_col: str = "doc_id") -> DataFrame:
     """(doc_id, source, size, source_size, target, epochs) for every row of ``docs``."""
-    rows = written(sized(docs), "mix-sizes")
+    rows = written(sized(docs, id_col), "mix-sizes")
     sources = written(targets(rows, n_weights, max_epochs), "mix-sources")
     budget = sources.agg(F.max("total").alias("t")).first()["t"] or 0
     queue = written(queued(rows, sources), "mix-queue")
@@ -169,14 +169,10 @@ def plan(docs: DataFrame, n_weights: int = 3, max_epochs: int = 3) -> DataFrame:
 def mix(docs: DataFrame, n_weights: int = 3, max_epochs: int = 3) -> DataFrame:
     """The mix itself: each taken document as often as it is taken, with the columns of ``docs``.
 
-    Rows that share an id are taken as one document's rows: an id is taken as
-    often as the first of its rows in queue order.
+    Rows that share an id, or have none, are mixed each by itself.
     """
-    name = "epoch"
-    while name in docs.columns:
-        name += "_"
-    chosen = (plan(docs, n_weights, max_epochs).filter("epochs > 0").groupBy("doc_id")
-              .agg(F.max("epochs").alias("epochs"))
-              .select(F.col("doc_id").alias(name + "id"), F.explode(F.sequence(F.lit(1), F.col("epochs").cast("int"))).alias(name)))
-    return (docs.join(chosen, _same(docs["doc_id"], F.col(name + "id")))
-            .select(*[docs[c] for c in docs.columns]))
+    keyed, key = row_keys(docs)
+    chosen = (plan(keyed, n_weights, max_epochs, key).filter("epochs > 0")
+              .select(F.col("doc_id").alias(key + "id"), F.explode(F.sequence(F.lit(1), F.col("epochs").cast("int"))).alias(key + "epoch")))
+    return (keyed.join(chosen, keyed[key] == F.col(key + "id"))
+            .select(*[keyed[c] for c in docs.columns]))

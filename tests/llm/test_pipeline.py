@@ -49,3 +49,19 @@ def test_stages_with_odd_rows_and_no_rows(spark):
     one = dict(corpus_pipeline.STAGES)["near_dedup"](spark, odd_docs(spark), SF)
     assert one.filter("doc_id = 6").count() == 0 and one.filter(F.col("doc_id").isNull()).count() == 1
     assert near_dup.near_duplicates(one, 5).filter("not kept").count() == 0
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    """Different texts under one id or none all stay; equal ones leave one."""
+    a, b, c = ("a text about rivers and the many towns that lie on them", "another one of quite different words which tells of hills",
+               "third words here again nothing that was said before at all")
+    rows = [(1, a), (1, b), (1, b), (None, c), (None, c), (None, a + " " + b), (2, c), (3, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), "x") for i, t in rows],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint, row_key string").repartition(3)
+    stage = dict(corpus_pipeline.STAGES)
+    one = stage["near_dedup"](spark, docs, SF)
+    assert one.columns == docs.columns
+    assert sorted(r.text for r in one.collect()) == sorted([a, b, c, a + " " + b])
+    assert {(r.doc_id, r.text) for r in one.collect()} >= {(1, b), (2, c), (3, a)}
+    mixed = stage["mix_sources"](spark, docs, SF)
+    assert mixed.columns == docs.columns and sorted(r.text for r in mixed.collect()) == sorted(t for _, t in rows)
