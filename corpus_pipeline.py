@@ -24,6 +24,10 @@ from insight.llm.common import row_keys, table, written
 from insight.llm.tokens import public
 
 
+#: Text bytes of a block of the last stage: half of the operator's, as its workers also hold what earlier stages loaded.
+BLOCK_BYTES = 16 << 20
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that policy v1 of the rule ledger accepts."""
     return quality.filter_documents(docs, "v1")
@@ -49,7 +53,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded text of every row of the mix."""
-    return bpe.encode(docs, public("word_bpe_49k.json"), digest=True)
+    return bpe.encode(docs, public("word_bpe_49k.json"), digest=True, block_bytes=BLOCK_BYTES)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
