@@ -174,14 +174,16 @@ def rare_encode(df: DataFrame, columns: Sequence[str], rare_perc: float,
                            .otherwise(F.lit(label)) for i, c in enumerate(columns)})
 
 
-def one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = False) -> DataFrame:
+def one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = False, most_values: int = 10_000) -> DataFrame:
     """0/1 columns ``<col>_<value>`` for sorted distinct values; a null row
-    gets all zeros. One metadata job finds the values of all columns; they
-    become columns of the result, so they are as many as a schema may hold."""
-    sets = df.agg(*[F.collect_set(c).alias(f"_{i}") for i, c in enumerate(columns)]).first()
+    gets all zeros. The values of a column are found by a distributed distinct; a
+    column with more than ``most_values`` raises, as each becomes a column of the result."""
     out = df
-    for i, c in enumerate(columns):
-        values = sorted(sets[f"_{i}"])
+    for c in columns:
+        found = df.where(F.col(c).isNotNull()).select(c).distinct().limit(most_values + 1).collect()
+        if len(found) > most_values:
+            raise ValueError(f"{c} has more than {most_values} values")
+        values = sorted(r[0] for r in found)
         keep = values[1:] if drop_first else values
         out = out.withColumns({f"{c}_{v}": F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0))
                                for v in keep}).drop(c)

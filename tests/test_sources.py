@@ -52,3 +52,10 @@ def test_one_hot_of_many_values_and_names(spark):
     out = prep.one_hot(df, ["v"])
     assert len(out.columns) == 1201 and prep.name_contains(df, "V") == ["v"]
     assert out.selectExpr("sum(v_7) as s").first()["s"] == 1
+
+
+def test_one_hot_refuses_a_column_of_many_values(spark):
+    df = spark.range(30).selectExpr("id", "cast(id as string) AS v")
+    with pytest.raises(ValueError, match="more than 20 values"):
+        prep.one_hot(df, ["v"], most_values=20)
+    assert len(prep.one_hot(df, ["v"], most_values=30).columns) == 31
