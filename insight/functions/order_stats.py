@@ -12,9 +12,11 @@ Method: a sketch, then a bracket, then exact counts. Rows are never shuffled.
    group. The sketch's rank error is known, so two of its values with a margin
    around a rank enclose the value at that rank. The sketch only chooses these
    brackets; the answer stays exact.
-2. A second scan counts, map-side, the rows below each bracket and the rows of
-   each distinct value inside it (a value that holds a third of all rows is
-   one row). A running sum over these few values gives the value at the rank.
+2. The ends of all brackets are sorted borders. A second scan counts, map-side, the rows
+   between borders and, inside a bracket, those of each distinct value (a value that holds a
+   third of all rows is one row). A row counts once, however many ranks are asked for.
+   These counts are checkpointed: totals between borders give a rank's segment, and a
+   running sum in that segment alone gives the value at the rank.
 3. A bracket of more than ``BRACKET_ROWS`` rows is narrowed first, by a scan
    that sketches only the rows inside it. A rank that a bracket should have
    missed is looked for again without one, so no error bound is trusted blindly.
@@ -22,8 +24,8 @@ Method: a sketch, then a bracket, then exact counts. Rows are never shuffled.
 Un-grouped statistics are *fitted* like Spark ML's ``QuantileDiscretizer``:
 only sizes, sketch values and the rows at requested ranks reach the driver,
 and rows are labelled by literal ``CASE WHEN`` chains inside whole-stage
-codegen. Grouped statistics (``quantiles`` with ``by``) stay lazy: a group's
-bracket is a row that meets the group's rows by an ordinary join.
+codegen. In grouped statistics (``quantiles`` with ``by``) a group's
+borders are an array that meets the group's rows by an ordinary join; nothing reaches the driver.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
+from insight.session import ensure_checkpoint_dir
+
 #: Quantiles that a sketch is asked for, its accuracy (rank error 1 in so many), and the
 #: number of grid steps that a bracket reaches beyond a rank: ten times that error.
 GRID = 1_000
@@ -44,6 +48,10 @@ MARGIN = 1
 BRACKET_ROWS = 1_000_000
 #: Groups up to this size are counted whole; beyond it neighbouring ranks lie within a bracket's margin.
 WHOLE_GROUP = 10_000
+#: The one not-a-number used as a border: Spark orders it last and equal to itself, Python by identity.
+NAN = float("nan")
+#: Parts of equal width that a group's rows between two borders are spread over.
+PARTS = 64
 
 
 def _grid(value: Column | str) -> Column:
@@ -55,63 +63,88 @@ def _around(grid: list, n: int, rank: int) -> tuple:
     if n <= GRID:
         return None, None
     lo, hi = rank * GRID // n - MARGIN - 1, -(-(rank + 1) * GRID // n) + MARGIN + 1
+    grid = [NAN if e != e else e for e in grid]
     return (grid[lo] if lo >= 0 else None), (grid[hi] if hi <= GRID else None)
 
 
-def _inside(value: str) -> Column:
-    x = F.col(value)
-    return (F.col("_lo").isNull() | (x >= F.col("_lo"))) & (F.col("_hi").isNull() | (x <= F.col("_hi")))
-
-
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
               out: str = "quantiles") -> DataFrame:
     """Exact quantiles with linear interpolation (numpy's default, DuckDB's
     ``quantile_cont``). Nulls are ignored. One row per group:
-    (by..., out: array<double> in the order of ``probs``). Two scans."""
+    (by..., out: array<double> in the order of ``probs``).
+
+    Two scans, the second one run at once: its counts go to the checkpoint folder. A row meets its group's
+    borders as one array, so no row is copied per quantile, and each bracket is spread over ``PARTS`` parts,
+    so that a hot group is no single window."""
     by = list(by)
     keys = [f"_k{i}" for i in range(len(by))]
+    ensure_checkpoint_dir(df.sparkSession)
     rows = df.where(F.col(value).isNotNull()).select(
         *[F.col(c).alias(k) for c, k in zip(by, keys)], F.col(value).cast("double").alias("_x"))
     margin = 10 / SKETCH_ACCURACY
     edges = [e for p in probs for e in (max(p - margin, 0.0), min(p + margin, 1.0))]
     stats = rows.groupBy(*keys).agg(F.count("_x").alias("_n"), F.percentile_approx("_x", edges, SKETCH_ACCURACY).alias("_e"))
     wide = F.col("_n") > WHOLE_GROUP
-    wanted = F.array(*[F.struct(
-        F.lit(j).alias("_j"), F.lit(float(p)).alias("_p"),
-        F.when(wide & F.lit(p - margin > 0), F.col("_e")[2 * j]).alias("_lo"),
-        F.when(wide & F.lit(p + margin < 1), F.col("_e")[2 * j + 1]).alias("_hi")) for j, p in enumerate(probs)])
-    brackets = stats.select(*keys, "_n", F.explode(wanted).alias("_w")).select(*keys, "_n", "_w.*")
-    counts = _meet(rows, brackets, keys).groupBy(*keys, "_j", "_p", "_n", F.when(_inside("_x"), F.col("_x")).alias("_v")).agg(
-        F.count_if(F.col("_x") < F.col("_lo")).alias("_under"), F.count(F.lit(1)).alias("_c"))
-    whole = Window.partitionBy(*keys, "_j")
-    run = whole.orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    counts = counts.withColumn("_below", F.sum("_under").over(whole)).withColumn(
-        "_upto", F.col("_below") + F.sum(F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(0)).over(run))
-    pos = F.col("_p") * (F.col("_n") - 1)
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col("_c")), F.col("_v")))
-
-    found = counts.where(F.col("_v").isNotNull()).groupBy(*keys, "_j", "_p", "_n").agg(
-        at(F.floor(pos)).alias("_a"), at(F.ceil(pos)).alias("_b"))
-    q = F.col("_a") + (pos - F.floor(pos)) * (F.col("_b") - F.col("_a"))
+    brackets = F.array(*[F.struct(
+        F.when(wide & F.lit(p - margin > 0), F.col("_e")[2 * j]).alias("lo"),
+        F.when(wide & F.lit(p + margin < 1), F.col("_e")[2 * j + 1]).alias("hi")) for j, p in enumerate(probs)])
+    stats = stats.select(*keys, "_n", brackets.alias("_w"), F.when(
+        wide, F.array_sort(F.array_distinct("_e"))).otherwise(F.array().cast("array<double>")).alias("_e"))
+    x, e = F.col("_x"), F.col("_e")
+    met = _same_group(rows, stats, keys, ["_n", "_w", "_e"]).withColumn("_i", F.size(F.filter(e, lambda b: b < x)))
+    low, high, on_border = F.get(e, F.col("_i") - 1), F.get(e, F.col("_i")), F.coalesce(F.get(e, F.col("_i")) == x, F.lit(False))
+    part = F.when(on_border, PARTS).otherwise(F.coalesce(
+        F.floor(F.try_divide(x - low, high - low) * PARTS).cast("int"), F.lit(0)))
+    kept = F.exists("_w", lambda w: (w["lo"].isNull() | (x >= w["lo"])) & (w["hi"].isNull() | (x <= w["hi"])))
+    counts = met.groupBy(*keys, "_n", (F.col("_i") * (PARTS + 1) + F.least(part, F.lit(PARTS - 1) + on_border.cast("int"))).alias("_s"),
+                         F.when(kept, x).alias("_v")).agg(F.count(F.lit(1)).alias("_c")).checkpoint()
+    pos = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
+    wanted = F.array(*[F.struct(F.lit(j).alias("j"), F.lit(side).alias("side"), fn(q).cast("long").alias("rank"))
+                       for j, q in enumerate(pos) for side, fn in enumerate((F.floor, F.ceil))])
+    upto = F.sum("_t").over(Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, 0))
+    parts = counts.groupBy(*keys, "_n", "_s").agg(F.sum("_c").alias("_t")).withColumn("_upto", upto)
+    start = F.col("_upto") - F.col("_t")
+    parts = parts.select(*keys, "_s", F.filter(F.transform(wanted, lambda w: F.struct(
+        w["j"].alias("j"), w["side"].alias("side"), (w["rank"] - start).alias("rank"))),
+        lambda w: (w["rank"] >= 0) & (w["rank"] < F.col("_t"))).alias("_r")).where(F.size("_r") > 0)
+    run = Window.partitionBy(*keys, "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    near = _same_group(counts, parts, [*keys, "_s"], ["_r"]).withColumn("_run", F.sum("_c").over(run))
+    hits = near.select(*keys, "_n", "_v", F.explode(F.filter("_r", lambda w: (
+        w["rank"] < F.col("_run")) & (w["rank"] >= F.col("_run") - F.col("_c")))).alias("_h"))
     lost = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
-    per = found.select(*keys, "_j", F.when(F.col("_a").isNull() | F.col("_b").isNull(), lost).otherwise(q).alias("_q"))
-    return per.groupBy(*keys).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("_j", "_q"))), lambda x: x["_q"]).alias(out)).select(
-        *[F.col(k).alias(c) for c, k in zip(by, keys)], out)
+    found = F.map_from_entries(F.collect_list(F.struct(
+        F.col("_h.j") * 2 + F.col("_h.side"), F.coalesce("_v", lost))))
+    found = hits.groupBy(*keys, "_n").agg(found.alias("_f"))
+
+    def between(j: int, q: Column) -> Column:
+        a, b = F.col("_f")[2 * j], F.col("_f")[2 * j + 1]
+        return a + (q - F.floor(q)) * (b - a)
+
+    return found.select(*[F.col(k).alias(c) for c, k in zip(by, keys)],
+                        F.array(*[between(j, q) for j, q in enumerate(pos)]).alias(out))
 
 
-def _meet(rows: DataFrame, brackets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows with the brackets of their group; a null key is a group, too."""
+def _same_group(rows: DataFrame, other: DataFrame, keys: Sequence[str], take: Sequence[str]) -> DataFrame:
+    """Rows with the columns ``take`` of the one row of their group; a null key is a group, too."""
     if not keys:
-        return rows.crossJoin(F.broadcast(brackets))  # one row per requested quantile
-    other = brackets.select(*[F.col(k).alias(f"{k}b") for k in keys], "_n", "_j", "_p", "_lo", "_hi")
+        return rows.crossJoin(F.broadcast(other.select(*take)))  # one row
+    right = other.select(*[F.col(k).alias(f"{k}b") for k in keys], *take)
     on = None
     for k in keys:
         same = F.col(k).eqNullSafe(F.col(f"{k}b"))
         on = same if on is None else on & same
-    return rows.join(other, on).drop(*[f"{k}b" for k in keys])
+    return rows.join(right, on).drop(*[f"{k}b" for k in keys])
+
+
+def _segment(x: Column, borders: Sequence, kind: str, at: int = 0) -> Column:
+    """Place of ``x`` among sorted borders, by halving: 2i between borders i-1 and i, 2i+1 on border i."""
+    if not borders:
+        return F.lit(2 * at)
+    mid = len(borders) // 2
+    border = F.lit(borders[mid]).cast(kind)
+    return (F.when(x == border, 2 * (at + mid) + 1)
+            .when(x < border, _segment(x, borders[:mid], kind, at))
+            .otherwise(_segment(x, borders[mid + 1:], kind, at + mid + 1)))
 
 
 def _locate_groups(rows: DataFrame, value: str, ranks_fn):
@@ -120,50 +153,107 @@ def _locate_groups(rows: DataFrame, value: str, ranks_fn):
     ``rows`` is (_g, value); ``_g`` names a small set of groups (columns of one
     table, or tie groups). ``ranks_fn(g, n)`` gives the 0-based ranks wanted in
     group ``g`` of size n. Returns {g: (n, {rank: (value, rows_before_value)})}.
-    Two scans; one more for each narrowing of large brackets.
+
+    Two scans; one more for each narrowing of large brackets. The brackets of a group
+    are sorted borders: a row counts once, in its segment between two of them (not once per
+    rank), with its value where the segment lies inside a bracket. Totals of segments give the segment
+    and the place of each rank; a running sum in that segment alone gives the value.
     """
     rows = rows.where(F.col(value).isNotNull())
-    spark, kind = rows.sparkSession, rows.schema[value].dataType.simpleString()
+    ensure_checkpoint_dir(rows.sparkSession)
+    x, kind = F.col(value), rows.schema[value].dataType.simpleString()
     stats = rows.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), _grid(value).alias("b")).collect()
-    result, todo = {}, []
+    result = {st["_g"]: (st["n"], {}) for st in stats}
+    brackets, sizes = {}, {}  # (group, rank) -> (lo, hi), rows between
     for st in stats:
-        n = st["n"]
-        ks = sorted({int(k) for k in ranks_fn(st["_g"], n)}) if n else []
-        result[st["_g"]] = (n, {})
-        for k in ks:
-            lo, hi = _around(st["b"], n, k)
-            todo.append((st["_g"], k, lo, hi, 0 if lo is None and hi is None else n * (2 * MARGIN + 4) // GRID))
-    todo = [(g, k, lo, hi, size or result[g][0]) for g, k, lo, hi, size in todo]
-    schema = f"_g string, _k bigint, _lo {kind}, _hi {kind}"
-
-    def met(wanted: list) -> DataFrame:
-        table = spark.createDataFrame([w[:4] for w in wanted], schema)  # one row per requested rank
-        return rows.join(F.broadcast(table), "_g")
-
-    while any(w[4] > BRACKET_ROWS and w[2] != w[3] for w in todo):
-        inner = F.when(_inside(value), F.col(value))
-        sizes = {(r["_g"], r["_k"]): r for r in met(todo).groupBy("_g", "_k").agg(
-            F.count_if(F.col(value) < F.col("_lo")).alias("below"), F.count(inner).alias("size"), _grid(inner).alias("b")).collect()}
-        narrower = []
-        for g, k, lo, hi, size in todo:
-            r = sizes[(g, k)]
-            a, b = _around(r["b"], r["size"], k - r["below"]) if r["size"] else (None, None)
-            narrower.append((g, k, lo if a is None else a, hi if b is None else b, r["size"] * (2 * MARGIN + 4) // GRID))
-        if [w[2:4] for w in narrower] == [w[2:4] for w in todo]:
+        g, n = st["_g"], st["n"]
+        for k in sorted({int(k) for k in ranks_fn(g, n)}):
+            lo, hi = brackets[g, k] = _around(st["b"], n, k)
+            sizes[g, k] = n if lo is None and hi is None else n * (2 * MARGIN + 4) // GRID
+
+    def placed(todo: dict) -> tuple[dict, DataFrame]:
+        """Sorted borders by group, and rows with their segment."""
+        borders = {g: sorted({e for (h, _), w in todo.items() if h == g for e in w if e is not None}, key=lambda e: (e != e, e))
+                   for g in {g for g, _ in todo}}
+        seg = F.lit(None).cast("int")
+        for g, es in borders.items():
+            seg = F.when(F.col("_g") == g, _segment(x, es, kind)).otherwise(seg)
+        return borders, rows.where(F.col("_g").isin(list(borders))).withColumn("_s", seg)
+
+    def segments(es: list, bracket: tuple) -> range:
+        lo, hi = bracket
+        return range(0 if lo is None else 2 * es.index(lo) + 1, 2 * len(es) + 1 if hi is None else 2 * es.index(hi) + 2)
+
+    def spans(borders: dict, todo: dict) -> list[tuple]:
+        return sorted({(g, i) for (g, k), w in todo.items() for i in segments(borders[g], w)})
+
+    def totals(counts: DataFrame) -> dict:
+        """Rows before and in each segment of each group, and what else was counted there."""
+        before, out = {}, {}
+        for r in sorted(counts.collect(), key=lambda r: (r["_g"], r["_s"])):
+            out[r["_g"], r["_s"]] = (before.get(r["_g"], 0), r)
+            before[r["_g"]] = before.get(r["_g"], 0) + r["c"]
+        return out
+
+    def at(tot: dict, g: str, k: int) -> int:
+        """The segment that holds rank ``k``."""
+        return next(s for (h, s), (b, r) in tot.items() if h == g and b <= k < b + r["c"])
+
+    while any(sizes[w] > BRACKET_ROWS and lo != hi for w, (lo, hi) in brackets.items()):
+        borders, seen = placed(brackets)
+        tot = totals(seen.groupBy("_g", "_s").agg(F.count(F.lit(1)).alias("c"), _grid(value).alias("b")))
+        narrower = {}
+        for (g, k), (lo, hi) in brackets.items():
+            s = at(tot, g, k)
+            b, r = tot[g, s]
+            es = borders[g]
+            if s % 2:  # the rank's value is the border itself
+                narrower[g, k], sizes[g, k] = (es[s // 2], es[s // 2]), r["c"]
+                continue
+            a, z = _around(r["b"], r["c"], k - b)
+            lo = (es[s // 2 - 1] if s else None) if a is None else a
+            hi = (es[s // 2] if s // 2 < len(es) else None) if z is None else z
+            narrower[g, k], sizes[g, k] = (lo, hi), r["c"] if r["c"] <= GRID else r["c"] * (2 * MARGIN + 4) // GRID
+        if narrower == brackets:
             break
-        todo = narrower
+        brackets = narrower
+    todo = brackets
     while todo:
-        counts = met(todo).groupBy("_g", "_k", F.when(_inside(value), F.col(value)).alias("_v")).agg(
-            F.count_if(F.col(value) < F.col("_lo")).alias("_under"), F.count(F.lit(1)).alias("_c"))
-        whole = Window.partitionBy("_g", "_k")
-        run = whole.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-        counts = counts.withColumn("_below", F.sum("_under").over(whole)).where(F.col("_v").isNotNull())
-        counts = counts.withColumn("_upto", F.col("_below") + F.sum("_c").over(run))
-        hits = counts.where((F.col("_k") < F.col("_upto")) & (F.col("_k") >= F.col("_upto") - F.col("_c")))
-        for h in hits.select("_g", "_k", "_v", (F.col("_upto") - F.col("_c")).alias("before")).collect():
-            result[h["_g"]][1][h["_k"]] = (h["_v"], h["before"])
-        todo = [(g, k, None, None, 0) for g, k, lo, hi, _ in todo
-                if k not in result[g][1] and (lo is not None or hi is not None)]
+        borders, seen = placed(todo)
+        keep = F.lit(False)
+        for g in borders:
+            keep = keep | ((F.col("_g") == g) & F.col("_s").isin([s for h, s in spans(borders, todo) if h == g]))
+        counts = seen.groupBy("_g", "_s", F.when(keep, x).alias("_v")).agg(F.count(F.lit(1)).alias("_c")).checkpoint()
+        tot = totals(counts.groupBy("_g", "_s").agg(F.sum("_c").alias("c")))
+        wanted, missed = {}, {}
+        for (g, k), w in todo.items():
+            s = at(tot, g, k)
+            before = tot[g, s][0]
+            if s % 2:
+                result[g][1][k] = (borders[g][s // 2], before)
+            elif s in segments(borders[g], w):
+                wanted.setdefault((g, s), []).append(k - before)
+            else:
+                missed[g, k] = (None, None)
+        pick = F.lit(False)
+        for (g, s), ks in wanted.items():
+            holds = [(F.col("_run") > k) & (F.col("_run") - F.col("_c") <= k) for k in ks]
+            any_of = holds[0]
+            for h in holds[1:]:
+                any_of = any_of | h
+            pick = pick | ((F.col("_g") == g) & (F.col("_s") == s) & any_of)
+        run = Window.partitionBy("_g", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+        near = F.lit(False)
+        for g, s in wanted:
+            near = near | ((F.col("_g") == g) & (F.col("_s") == s))
+        hits = counts.where(near).withColumn("_run", F.sum("_c").over(run)).where(pick).collect() if wanted else []
+        for h in hits:
+            g, s = h["_g"], h["_s"]
+            before = tot[g, s][0]
+            for k in wanted[g, s]:
+                if h["_run"] - h["_c"] <= k < h["_run"]:
+                    result[g][1][k + before] = (h["_v"], before + h["_run"] - h["_c"])
+        todo = missed
     return result
 
 
@@ -280,11 +370,8 @@ def multi_first_rank_thresholds(df: DataFrame, columns: Sequence[str], key: str,
             tie_rank[gid] = k - before
     out = {c: [] for c in columns}
     if ties:
-        parts = [df.where(F.col(c).cast("double") == F.lit(v)).select(
-            F.lit(gid).alias("_g"), F.col(key).alias("_key")) for gid, c, v in ties]
-        tied = parts[0]
-        for p in parts[1:]:
-            tied = tied.unionByName(p)
+        tags = F.array_compact(F.array(*[F.when(F.col(c).cast("double") == F.lit(v), F.lit(gid)) for gid, c, v in ties]))
+        tied = df.select(F.explode(tags).alias("_g"), F.col(key).alias("_key"))
         if isinstance(df.schema[key].dataType, (StringType, BinaryType)):
             keys = text_at_rank(tied, tie_rank)
         else:

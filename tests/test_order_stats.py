@@ -54,11 +54,48 @@ def test_grouped_quantiles_of_large_groups(spark):
     assert np.allclose(OS.global_quantiles(df, "x", PROBS), np.nanquantile(pdf.x, PROBS))
 
 
-def test_scans_of_the_source(spark):
-    """Grouped quantiles read their source twice, whatever the number of quantiles."""
+def _plans_of(df, ask, monkeypatch):
+    """Plans of all tables that ``ask`` has written to the checkpoint folder, and of its result if it is a DataFrame."""
+    kind, plans = type(df), []
+    original = kind.checkpoint
+
+    def watched(self, *args, **kwargs):
+        plans.append(self._jdf.queryExecution().optimizedPlan().toString())
+        return original(self, *args, **kwargs)
+
+    monkeypatch.setattr(kind, "checkpoint", watched)
+    got = ask()
+    if isinstance(got, kind):
+        plans.append(got._jdf.queryExecution().optimizedPlan().toString())
+    return plans
+
+
+def test_scans_of_the_source(spark, monkeypatch):
+    """Grouped quantiles read their source twice, whatever the number of quantiles, and copy no row."""
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    plans = _plans_of(df, lambda: OS.quantiles(df, "l_quantity", PROBS, by=["l_returnflag"]), monkeypatch)
+    assert [p.count("Relation [") for p in plans] == [2, 0]
+    assert "Generate" not in plans[0] and "Expand" not in plans[0]
+
+
+def test_no_row_copy_per_rank(spark, monkeypatch):
+    """Ranks of several columns: one scan, one stacked copy per column, no join with the ranks."""
     df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
-    plan = OS.quantiles(df, "l_quantity", PROBS, by=["l_returnflag"])._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Relation [") == 2
+    plans = _plans_of(df, lambda: OS.multi_quantiles(df, ["l_quantity", "l_tax"], PROBS), monkeypatch)
+    assert [p.count("Relation [") for p in plans] == [1] and "Join" not in plans[0]
+
+
+@pytest.mark.parametrize("settings", SETTINGS)
+def test_infinite_and_not_a_number(spark, settings, monkeypatch):
+    """Not-a-number is the largest value; infinite values and signed zeros are values like others."""
+    for name, value in settings.items():
+        monkeypatch.setattr(OS, name, value)
+    values = [float("nan")] * 30 + [float("-inf")] * 20 + [0.0, -0.0] * 40 + [float(i) for i in range(70)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    order = sorted(values, key=lambda v: (v != v, v))
+    for rank in (0, 19, 20, 60, 99, 100, 150, 169, 170, 199):
+        got = OS.value_at_rank(df, "v", rank)
+        assert got == order[rank] or (got != got and order[rank] != order[rank])
 
 
 @pytest.mark.parametrize("settings", SETTINGS)
