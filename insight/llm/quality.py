@@ -7,7 +7,8 @@ new policy version or an ablation never touches the texts again.
 Defined cases: a null or empty text has no words, all measurements 0, and
 fails ``few_words``. Repeated rows give repeated ledger rows. An empty table
 gives an empty ledger. Columns other than the two named ones are not read, so
-extra columns cannot clash. A long text is one row of work, linear in its size.
+extra columns cannot clash. A long text is one row of work, almost linear in its size; beyond 1 MB its windows
+and lines are held as 128-bit digests in arrays, not as objects.
 """
 
 from __future__ import annotations
@@ -16,18 +17,26 @@ from collections import Counter
 from collections.abc import Callable
 from itertools import compress
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from insight.llm.common import arrow_map, shipped, utf8
+from insight.llm.common import arrow_map, parts, shipped, utf8
 
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 
+#: Longest text whose words and lines are held as objects; longer ones are read part by part.
+WHOLE_BYTES = 1 << 20
+#: The bytes inside a UTF-8 character: all others begin one.
+INNER = bytes(range(0x80, 0xC0))
+
+
 def repeated_words(words: list[bytes]) -> int:
     """Words inside 3-word windows that occur at least twice, first one included."""
     windows = list(zip(words, words[1:], words[2:]))
@@ -40,15 +49,60 @@ def repeated_words(words: list[bytes]) -> int:
     return covered.count(1)
 
 
+def again(digests: bytearray) -> tuple[np.ndarray, int]:
+    """Of 16-byte digests: which occur at least twice, and how many equal an earlier one."""
+    d = np.frombuffer(digests, np.uint64).reshape(-1, 2)
+    order = np.lexsort((d[:, 1], d[:, 0]))
+    ranked = d[order]
+    same = (ranked[1:] == ranked[:-1]).all(axis=1)
+    hot = np.zeros(len(d), bool)
+    hot[order[1:][same]] = True
+    hot[order[:-1][same]] = True
+    return hot, int(same.sum())
+
+
+def repeated_words_of(data: bytes) -> tuple[int, int]:
+    """Words of a long text, and those that ``repeated_words`` counts, by 128-bit digests of the windows."""
+    digests, n, last = bytearray(), 0, []
+    for part in parts(data):
+        words = part.split()
+        n += len(words)
+        last += words
+        for window in zip(last, last[1:], last[2:]):
+            digests += xxhash.xxh3_128_digest(b" ".join(window))
+        last = last[-2:]
+    if n < 3:
+        return n, 0
+    hot, _ = again(digests)
+    covered = np.zeros(n, bool)
+    for j in range(3):
+        covered[j:n - 2 + j] |= hot
+    return n, int(covered.sum())
+
+
+def repeated_lines_of(data: bytes) -> tuple[int, int]:
+    """Lines of a long text that have a word, and those of them equal to an earlier line."""
+    digests, at = bytearray(), 0
+    while at <= len(data):
+        end = data.find(b"\n", at)
+        line = data[at:end if end >= 0 else len(data)]
+        if not line.isspace() and line:
+            digests += xxhash.xxh3_128_digest(line)
+        at = end + 1 if end >= 0 else len(data) + 1
+    return len(digests) // 16, again(digests)[1] if digests else 0
+
+
 def measure_text(text: str | None) -> tuple[int, ...]:
     """The measurements of one text, in the order of ``MEASURES``."""
     data = utf8(text)
+    chars = len(data.translate(None, SPACE + INNER))
+    symbols = len(data) - len(data.translate(None, SYMBOLS))
+    if len(data) > WHOLE_BYTES:
+        n_words, repeated = repeated_words_of(data)
+        return (n_words, chars, symbols, *repeated_lines_of(data), repeated)
     words = data.split()
     lines = [line for line in data.split(b"\n") if line.strip()]
-    solid = data.translate(None, SPACE)
-    return (len(words), len(solid.decode("utf-8", "surrogatepass")),
-            len(data) - len(data.translate(None, SYMBOLS)),
-            len(lines), len(lines) - len(set(lines)), repeated_words(words))
+    return len(words), chars, symbols, len(lines), len(lines) - len(set(lines)), repeated_words(words)
 
 
 #: name -> failure test, all in integers; a rule's place is its bit. ``m`` gives a measurement.

@@ -1,6 +1,10 @@
+import time
+import tracemalloc
+
 from pyspark.sql import functions as F
 
 from insight.llm import quality
+from insight.llm.common import parts
 from tests.llm.helpers import no_docs, odd_docs, words
 
 
@@ -25,6 +29,28 @@ def test_edges_of_measurements():
         assert quality.measure_text(text) == brute(text), text
 
 
+def test_long_texts_give_the_same_measurements(monkeypatch):
+    """The form for long texts, its parts cut small, equals brute force and the form for short ones."""
+    texts = ("a b c a b c", "x x x x", "a\nb\na\n\n \nb", "日本 # #", "\x1c a\x85b", "one\r\ntwo\r\none", "a", "a b", " ", "\n\n",
+             "the cat sat on the mat and the cat sat\n" * 9 + "end | <of> it\n", "é" * 40 + " " + "é" * 40)
+    short = [quality.measure_text(t) for t in texts]
+    monkeypatch.setattr(quality, "WHOLE_BYTES", 0)
+    monkeypatch.setattr(quality, "parts", lambda data: parts(data, 7))
+    assert [quality.measure_text(t) for t in texts] == short == [brute(t) for t in texts]
+
+
+def test_a_text_of_ten_megabytes_needs_bounded_memory():
+    """Distinct short words and one-word lines: peak memory below 14 bytes a byte, within seconds."""
+    text = "\n".join(format(i, "x") for i in range(1_600_000))
+    tracemalloc.start()
+    begun = time.time()
+    got = quality.measure_text(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[0] == got[3] == 1_600_000 and got[4:] == (0, 0)
+    assert peak < 14 * len(text) and time.time() - begun < 60
+
+
 def test_odd_rows_and_no_rows(spark):
     got = quality.ledger(odd_docs(spark, clashing=True)).collect()
     assert len(got) == 10
