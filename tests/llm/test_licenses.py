@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -36,13 +37,65 @@ def labels(text):
     ("Released under the MIT License.", {"mit", "mit-notice"}),
     ("emit license", set()), ("MIT/License", {"mit"}), ("GNU General Public", set()), ("", set()),
     ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-     "documentation files (the \"Software\"), to deal in the Software without restriction", {"mit-text"}),
+     "documentation files (the \"Software\"), to deal in the Software without restriction", set()),  # the rest is mandatory
+    ("This is NOT licensed under the GNU General Public License", {"gpl"}), ("never released under the MIT License", {"mit"}),
+    ("Licensed under CC BY-NC-SA 4.0", {"cc-by", "cc-by-notice", "cc-by-nc-sa"}), ("CC BY-ND 4.0", {"cc-by", "cc-by-nd"}),
+    ("Creative Commons Attribution-NonCommercial 4.0 International License", {"cc-by-nc"}),
+    ("Creative Commons Attribution 3.0 License", {"cc-by"}), ("Creative Commons Contribution 3.0 License", set()),
     ("Permission is hereby granted, free of cost, to any person", set()),
 ])
 def test_templates(text, want):
     assert labels(text) == want
 
 
+def filled(template, rng, optional):
+    """A text that a template accepts: replaceable parts of random words and lengths, optional parts in or out."""
+    out, skip, depth = [], None, 0
+    for i, part in enumerate(licenses.MARK.split(template.wording)):
+        if i % 2 == 0:
+            if skip is None:
+                out += licenses.words_of(part)
+        elif part == "beginOptional":
+            depth += 1
+            if skip is None and rng.random() >= optional:
+                skip = depth
+        elif part == "endOptional":
+            skip = None if skip == depth else skip
+            depth -= 1
+        elif skip is None:
+            least, most = map(int, re.search(r"words=(\d+)-(\d+)", part).groups())
+            out += [b"w%d" % rng.randrange(99) for _ in range(rng.randint(least, most))]
+    return out
+
+
+@pytest.mark.parametrize("template", licenses.WHOLE_TEXTS, ids=lambda t: t.label)
+def test_whole_texts_and_changed_words(template):
+    """Any filling is labelled; without one mandatory word, or with another in its place, it is not."""
+    rng = random.Random(4)
+    m = licenses.automaton()
+
+    def found(words):
+        return template.label in {m.templates[t].label for _, _, t in m.matches(words)}
+
+    for _ in range(10):
+        assert found(filled(template, rng, rng.random()))
+    bare = filled(template, rng, 0.0)
+    assert found(bare) and found([b"before"] + bare + [b"behind"])
+    mandatory = [i for i, w in enumerate(bare) if not re.fullmatch(rb"w\d+", w)]
+    for i in rng.sample(mandatory, 25):
+        # next to a replaceable part a word may pass into it, so both neighbours are mandatory words
+        if i - 1 in mandatory and i + 1 in mandatory:
+            assert not found(bare[:i] + [b"xyzzy", b"xyzzy"] + bare[i + 1:])
+
+
+def test_a_grant_with_another_sequel_is_no_mit_text():
+    grant = next(t for t in licenses.WHOLE_TEXTS if t.label == "mit-text")
+    words = filled(grant, random.Random(1), 0.0)
+    cut = words.index(b"restriction") + 1
+    got = licenses.automaton().matches(words[:cut] + b"but you must never sell it and pay me".split() + words[cut:])
+    assert got == []
+
+
 def test_markup_of_optional_and_replaceable_parts():
     t = (licenses.Template("x", "a <<beginOptional>>b <<beginOptional>>c<<endOptional>><<endOptional>> <<var;name=n;words=1-2>> d"),)
     m = licenses.Automaton(t)
