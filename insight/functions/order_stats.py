@@ -124,6 +124,14 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
                         F.array(*[between(j, q) for j, q in enumerate(pos)]).alias(out))
 
 
+def group_medians_of(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
+    """(by, median_<column>...): exact medians of several columns per group, all from one plan of two scans."""
+    parts = F.array(*[F.struct(F.lit(c).alias("_g"), F.col(c).cast("double").alias("_v")) for c in columns])
+    long = df.select(by, F.explode(parts).alias("_s")).select(by, "_s._g", "_s._v")
+    med = quantiles(long, "_v", [0.5], [by, "_g"], out="_q")
+    return med.groupBy(by).agg(*[F.max(F.when(F.col("_g") == c, F.col("_q")[0])).alias(f"median_{c}") for c in columns])
+
+
 def _same_group(rows: DataFrame, other: DataFrame, keys: Sequence[str], take: Sequence[str]) -> DataFrame:
     """Rows with the columns ``take`` of the one row of their group; a null key is a group, too."""
     if not keys:

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from insight.functions.order_stats import qcut
+from insight.functions.order_stats import group_medians_of, qcut
 from insight.functions.scalar import hyp2f1, lgamma, log_sum_exp
 from insight.session import ensure_checkpoint_dir
 
@@ -255,8 +255,8 @@ def cltv_pipeline(base: DataFrame, key: str, months: int = 6) -> DataFrame:
 
 
 def cltv_profile(scored: DataFrame) -> DataFrame:
-    """C11/A3: customers, and mean and sum of the main figures, per value segment."""
+    """C11/A3: customers, and mean, median and sum of the main figures, per value segment."""
     figures = ["recency_weekly", "t_weekly", "frequency", "monetary_avg", "clv", "scaled_clv"]
-    return scored.groupBy("cltv_segment").agg(
+    return group_medians_of(scored, figures, "cltv_segment").join(scored.groupBy("cltv_segment").agg(
         F.count(F.lit(1)).alias("n_customers"), *[F.avg(c).alias(f"mean_{c}") for c in figures],
-        *[F.sum(c).alias(f"sum_{c}") for c in ("frequency", "clv")])
+        *[F.sum(c).alias(f"sum_{c}") for c in ("frequency", "clv")]), "cltv_segment")

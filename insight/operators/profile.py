@@ -7,9 +7,11 @@ come from :mod:`insight.functions.order_stats`.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
@@ -45,6 +47,22 @@ def table_profile(df: DataFrame, columns: Sequence[str],
     return spark.createDataFrame(rows, schema)
 
 
+def column_types(df: DataFrame) -> DataFrame:
+    """Position, name and type of every column, with its rows and nulls from one aggregate."""
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate(df.columns)])
+    parts = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.lit(kind).alias("type"),
+                      F.col("_n").alias("n_rows"), F.col(f"_{i}").alias("n_null")) for i, (c, kind) in enumerate(df.dtypes)]
+    return row.select(F.explode(F.array(*parts)).alias("_s")).select("_s.*")
+
+
+def head_tail(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
+    """The first and last ``n`` rows in the order of ``order``, told apart by ``part`` (head, tail). A table of fewer
+    rows gives them in both. Each end is a bounded top-n, not a sort of the table; rows tied at an end are any of them."""
+    first = df.orderBy(*[F.col(c).asc() for c in order]).limit(n)
+    last = df.orderBy(*[F.col(c).desc() for c in order]).limit(n)
+    return first.select(F.lit("head").alias("part"), "*").unionByName(last.select(F.lit("tail").alias("part"), "*"))
+
+
 def column_roles(df: DataFrame, cat_th: int = 10, car_th: int = 20) -> DataFrame:
     """Categorical / numeric / cardinal role per column (nulls not counted).
 
@@ -149,18 +167,54 @@ def _corr(a: str, b: str):
     return F.try_divide(cov, F.stddev_samp(x) * F.stddev_samp(y))
 
 
-def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long-form correlation matrix (col_a, col_b, corr), one aggregate.
-    Each pair is computed once and told in both directions."""
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    row = df.agg(*[_corr(columns[i], columns[j]).alias(f"_c{i}_{j}") for i, j in pairs])
+#: A variance below this share of the mean square (about the column's mean) counts as none: it is rounding.
+NO_VARIANCE = 1e-13
 
-    def told(a: str, b: str, name: str):
-        return F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(name).alias("corr"))
 
-    both = [told(columns[i], columns[j], f"_c{i}_{j}") for i, j in pairs]
-    both += [told(columns[j], columns[i], f"_c{i}_{j}") for i, j in pairs if i != j]
-    return row.select(F.explode(F.array(*both)).alias("s")).select("s.*")
+def gram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per pair of columns (i, j), over the rows where both are present and with every column centred on its mean:
+    n, sum of products p, sums si and sj, sums of squares qi and qj. Two scans; each task multiplies its rows as blocks
+    (values and null patterns) and gives one row per pair, so no aggregate is made per pair."""
+    columns = list(columns)
+    size = len(columns)
+    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"_{i}") for i, c in enumerate(columns)]).first()
+    centre = np.array([0.0 if m is None else m for m in means])
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, size, size))
+        for batch in batches:
+            here = np.column_stack([~np.asarray(c.is_null()) for c in batch.columns]).astype(float)
+            x = np.column_stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns])
+            x = np.where(here > 0, x - centre, 0.0)
+            with np.errstate(invalid="ignore", over="ignore"):
+                total += np.stack([here.T @ here, x.T @ x, x.T @ here, (x * x).T @ here])
+        n, p, s, q = total
+        i, j = np.divmod(np.arange(size * size), size)
+        cols = [i, j, *[m.ravel() for m in (n, p, s, s.T, q, q.T)]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["i", "j", "n", "p", "si", "sj", "qi", "qj"])
+
+    rows = df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)])
+    sums = ["n", "p", "si", "sj", "qi", "qj"]
+    parts = rows.mapInArrow(blocks, "i bigint, j bigint, " + ", ".join(f"{c} double" for c in sums))
+    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Long-form correlation matrix (col_a, col_b, corr) over pairwise complete rows from the blocks of
+    :func:`gram`. A pair with fewer than two rows or a column that is constant there has a null correlation, and so
+    have all pairs of an empty table."""
+    def spread(square: str, total: str) -> Column:
+        var = F.col(square) - F.col(total) * F.try_divide(F.col(total), F.col("n"))
+        return F.when((F.col("n") > 1) & (var > NO_VARIANCE * F.col(square)), var)
+
+    cov = F.col("p") - F.col("si") * F.try_divide(F.col("sj"), F.col("n"))
+    corr = cov / F.sqrt(spread("qi", "si")) / F.sqrt(spread("qj", "sj"))
+    size = len(columns)
+    pairs = df.sparkSession.range(size * size, numPartitions=1).select(
+        F.floor(F.col("id") / size).cast("bigint").alias("i"), (F.col("id") % size).alias("j"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return pairs.join(gram(df, columns), ["i", "j"], "left").select(
+        names[F.col("i")].alias("col_a"), names[F.col("j")].alias("col_b"), corr.alias("corr"))
 
 
 def target_correlation(df: DataFrame, columns: Sequence[str], target: str,

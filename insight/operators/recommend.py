@@ -65,6 +65,11 @@ def user_based(ratings: DataFrame, user: str, item: str, target: DataFrame,
                   .orderBy(F.col("score").desc(), item).limit(top_n))
 
 
+def with_titles(recs: DataFrame, items: DataFrame, item: str, title: str) -> DataFrame:
+    """Recommendations with the title of each item; an item without one keeps a null title."""
+    return recs.join(items.select(item, title).dropDuplicates([item]), item, "left")
+
+
 def latest_top_item(ratings: DataFrame, user: str, item: str, target: DataFrame,
                     when_col: str, top_rating: float) -> DataFrame:
     """The item the target rated ``top_rating`` (the best mark) most recently

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from insight.sources.tables import write_table
 from insight.functions.order_stats import (
     first_rank_label,
     multi_first_rank_thresholds,
@@ -141,3 +142,15 @@ def campaign_audience(segmented: DataFrame, segments: Sequence[str], interest_co
         if rest is not None:
             pred = pred & rest
     return segmented.where(pred)
+
+
+def write_campaign_lists(lists: dict[str, DataFrame], folder: str, columns: Sequence[str], fmt: str = "csv") -> dict[str, str]:
+    """Each list's distinct ``columns`` as files under ``folder``/<list name>; returns the paths.
+
+    A rerun overwrites a list. The folder must be one that all executors share.
+    """
+    paths = {}
+    for name, audience in lists.items():
+        paths[name] = f"{folder.rstrip('/')}/{name}"
+        write_table(audience.select(*columns).distinct(), paths[name], fmt)
+    return paths

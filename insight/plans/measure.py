@@ -116,6 +116,20 @@ def q_levene_stat(spark, sf_dir):
     return w.select(r("w_stat").alias("w_stat"), "df1", "df2")
 
 
+@query("samples_t_stat", sql="""WITH s AS (SELECT 'early' AS g, o_totalprice AS v FROM orders WHERE o_orderdate < DATE '1996-01-01'
+  UNION ALL SELECT 'late', o_totalprice FROM orders WHERE o_orderdate >= DATE '1996-01-01'),
+m AS (SELECT g, count(v) AS n, avg(v) AS m, var_samp(v) AS s2 FROM s GROUP BY g)
+SELECT round((a.m - b.m) / sqrt(((a.n - 1) * a.s2 + (b.n - 1) * b.s2) / (a.n + b.n - 2) * (1.0 / a.n + 1.0 / b.n)), 6) AS t_stat,
+  CAST(a.n + b.n - 2 AS BIGINT) AS dof FROM m a, m b WHERE a.g = 'early' AND b.g = 'late'""")
+def q_samples_t_stat(spark, sf_dir):
+    """Two tables of orders as labelled samples, and their t statistic."""
+    o, cut = Tables(spark, sf_dir).orders, F.lit("1996-01-01").cast("timestamp")
+    both = M.label_samples({"early": o.where(F.col("o_orderdate") < cut).select("o_totalprice"),
+                            "late": o.where(F.col("o_orderdate") >= cut).select("o_totalprice")})
+    t = M.ttest_ind(both, "group", "o_totalprice", "early", "late")
+    return t.select(r("t_stat").alias("t_stat"), "dof")
+
+
 @query("two_prop_z", sql="""WITH s AS (SELECT
   count_if(o_orderpriority = '1-URGENT' AND o_orderstatus = 'F') AS x1,
   count_if(o_orderpriority = '1-URGENT') AS n1,

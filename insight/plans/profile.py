@@ -39,6 +39,23 @@ def q_table_profile(spark, sf_dir):
                        *[r(c).alias(c) for c in ("q00", "q05", "q50", "q95", "q99", "q100")])
 
 
+@query("column_types", sql=f"""WITH {_PART_N}, n AS (SELECT count(*) AS n, count(p_type) AS t, count(p_size) AS s FROM part_n)
+SELECT v.i AS position, v.c AS column_name, v.t AS type, n.n AS n_rows,
+  CASE v.c WHEN 'p_type' THEN n.n - n.t WHEN 'p_size' THEN n.n - n.s ELSE 0 END AS n_null
+FROM n, (VALUES (0, 'p_partkey', 'bigint'), (1, 'p_name', 'string'), (2, 'p_brand', 'string'), (3, 'p_type', 'string'),
+  (4, 'p_size', 'int'), (5, 'p_retailprice', 'double')) v(i, c, t)""")
+def q_column_types(spark, sf_dir):
+    """Types, rows and nulls."""
+    return P.column_types(part_n(spark, sf_dir))
+
+
+@query("head_tail", sql="""(SELECT 'head' AS part, o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 5)
+UNION ALL (SELECT 'tail', o_orderkey, o_custkey FROM orders ORDER BY o_orderkey DESC LIMIT 5)""")
+def q_head_tail(spark, sf_dir):
+    """The first and last five orders by key."""
+    return P.head_tail(Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey"), ["o_orderkey"], 5)
+
+
 @query("column_roles", sql=f"""WITH {_PART_N}, nd AS (
   SELECT 'p_partkey' AS column_name, false AS is_str, count(DISTINCT p_partkey) AS n FROM part_n
   UNION ALL SELECT 'p_name', true, count(DISTINCT p_name) FROM part_n

@@ -56,6 +56,22 @@ def q_user_recs(spark, sf_dir):
     return rec.select("item", r("score").alias("score"))
 
 
+@query("user_rec_titles", sql=f"""WITH {_R},
+mine AS (SELECT item, rating AS t FROM ratings JOIN target USING (user_id)),
+st AS (SELECT user_id, count(*) AS common, corr(t, rating) AS c FROM ratings JOIN mine USING (item)
+  WHERE user_id <> (SELECT user_id FROM target) GROUP BY user_id),
+top AS (SELECT user_id, c FROM st WHERE common > (SELECT count(*) FROM mine) * 20.0 / 100 AND c >= 0.1),
+sc AS (SELECT item, avg(c * rating) AS score FROM ratings JOIN top USING (user_id) GROUP BY item),
+best AS (SELECT item, score FROM sc WHERE score > 1 ORDER BY score DESC, item LIMIT 5)
+SELECT item, round(score, 6) AS score, (SELECT min(p_name) FROM part WHERE p_brand = item) AS title FROM best""")
+def q_user_rec_titles(spark, sf_dir):
+    """R5 with titles: a brand's is the first of its part names."""
+    ratings = _ratings(spark, sf_dir)
+    rec = R.user_based(ratings, "user_id", "item", R.most_active_user(ratings, "user_id"), 20.0, 0.1, 1.0, 5)
+    titles = Tables(spark, sf_dir).part.groupBy(F.col("p_brand").alias("item")).agg(F.min("p_name").alias("title"))
+    return R.with_titles(rec, titles, "item", "title").select("item", r("score").alias("score"), "title")
+
+
 @query("item_recs", sql=f"""WITH {_R},
 ti AS (SELECT arg_max(item, (last_d, item)) AS item FROM ratings JOIN target USING (user_id)
   WHERE rating = (SELECT max(rating) FROM ratings JOIN target USING (user_id))),
