@@ -227,7 +227,17 @@ def q_ggamma_score(spark, sf_dir):
     return b.select("customer_id", r(e).alias("expected_average_profit"))
 
 
-@query("bgnbd_expected")
+@query("bgnbd_expected", sql=f"""WITH {_CLTV_CTE},
+h AS (SELECT customer_id, CAST(frequency AS DOUBLE) AS x, CAST(recency_weekly AS DOUBLE) AS tx, CAST(t_weekly AS DOUBLE) AS tt, w,
+  CAST({_BG['r']} AS DOUBLE) AS r, CAST({_BG['alpha']} AS DOUBLE) AS alpha, CAST({_BG['a']} AS DOUBLE) AS a, CAST({_BG['b']} AS DOUBLE) AS b
+  FROM base, (SELECT CAST(unnest([12, 24]) AS DOUBLE) AS w)),
+s AS (SELECT customer_id, w, sum(exp(lgamma(r + x + k) - lgamma(r + x) + lgamma(b + x + k) - lgamma(b + x)
+  - lgamma(a + b + x - 1 + k) + lgamma(a + b + x - 1) - lgamma(k + 1) + k * ln(w / (alpha + tt + w)))) AS f
+  FROM h, (SELECT CAST(unnest(generate_series(0, 599)) AS DOUBLE) AS k) GROUP BY customer_id, w),
+e AS (SELECT customer_id, w, (a + b + x - 1) / (a - 1) * (1 - f * pow((alpha + tt) / (alpha + tt + w), r + x))
+  / (1 + a / (b + x - 1) * pow((alpha + tt) / (alpha + tx), r + x)) AS e FROM h JOIN s USING (customer_id, w))
+SELECT customer_id, round(max(CASE WHEN w = 12 THEN e END), 6) AS exp_12w,
+  round(max(CASE WHEN w = 24 THEN e END), 6) AS exp_24w FROM e GROUP BY customer_id""")
 def q_bgnbd_expected(spark, sf_dir):
     """C8 at fixed parameters: expected purchases in 12 and 24 weeks."""
     b = _cltv_base(spark, sf_dir)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from insight.operators import measure as M
-from insight.plans.registry import i64, query, r
+from insight.plans.registry import ORACLES, i64, query, r
 from insight.sources import Tables
 
 _AGE = """e AS (SELECT event_type, value,
@@ -143,7 +143,23 @@ def q_two_prop_z(spark, sf_dir):
     return z.select(r("z_stat").alias("z_stat"), r("p1").alias("p1"), r("p2").alias("p2"))
 
 
-@query("ab_test")
+#: Two-sided t probabilities by the finite series in the angle atan(t / sqrt(dof)); with one degree of freedom between
+#: the groups, F is t squared. The normal integral by Simpson's rule.
+_AB_SQL = f"""WITH t AS ({ORACLES['t_test_stat']}), w AS ({ORACLES['levene_stat']}), z AS ({ORACLES['two_prop_z']}),
+u AS (SELECT 't_test' AS test, t_stat AS statistic, abs(t_stat) AS t, dof FROM t
+  UNION ALL SELECT 'levene', w_stat, sqrt(w_stat), df2 FROM w),
+v AS (SELECT *, atan(t / sqrt(dof)) AS th, CASE WHEN dof % 2 = 0 THEN dof // 2 ELSE (dof - 1) // 2 END AS terms FROM u),
+s AS (SELECT test, statistic, dof, th, sum(CASE
+    WHEN dof % 2 = 0 THEN exp(lgamma(k + 0.5) - lgamma(k + 1.0) - ln(pi()) / 2 + 2 * k * ln(cos(th)))
+    ELSE exp(lgamma(k + 1.0) - lgamma(k + 1.5) + ln(pi()) / 2 - ln(2) + (2 * k + 1) * ln(cos(th))) END) AS f
+  FROM (SELECT *, unnest(generate_series(0, terms - 1)) AS k FROM v) GROUP BY test, statistic, dof, th)
+SELECT test, statistic, round(CASE WHEN dof % 2 = 0 THEN 1 - sin(th) * f ELSE 1 - 2 / pi() * (th + sin(th) * f) END, 6) AS p_value FROM s
+UNION ALL SELECT 'two_prop_z', any_value(z_stat), round(1 - 2 * sum(CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+  * exp(-pow(z_stat * i / 2000, 2) / 2) / sqrt(2 * pi())) * abs(any_value(z_stat)) / 6000, 6)
+FROM z, (SELECT unnest(generate_series(0, 2000)) AS i)"""
+
+
+@query("ab_test", sql=_AB_SQL)
 def q_ab_test(spark, sf_dir):
     """M9-M11 with p-values: statistics from Spark, p from a few scalars."""
     t = q_t_test_stat(spark, sf_dir).first()
@@ -152,10 +168,53 @@ def q_ab_test(spark, sf_dir):
     rows = [("t_test", float(t["t_stat"]), M.t_two_sided_p(t["t_stat"], t["dof"])),
             ("levene", float(w["w_stat"]), M.f_upper_p(w["w_stat"], w["df1"], w["df2"])),
             ("two_prop_z", float(z["z_stat"]), M.normal_two_sided_p(z["z_stat"]))]
-    return spark.createDataFrame(rows, "test string, statistic double, p_value double")
-
-
-@query("shapiro")
+    out = spark.createDataFrame(rows, "test string, statistic double, p_value double")
+    return out.withColumn("p_value", r("p_value"))
+
+
+def _shapiro_sql() -> str:
+    """The statistics over all rows ranked one by one, with the fixed coefficients of the approximations."""
+    def poly(coefs, x: str) -> str:
+        out = "CAST(0 AS DOUBLE)"
+        for c in coefs:
+            out = f"({out} * ({x}) + CAST({c!r} AS DOUBLE))"
+        return out
+
+    def ppf(p: str) -> str:
+        low, high, q = f"sqrt(-2 * ln({p}))", f"sqrt(-2 * ln(1 - {p}))", f"({p} - 0.5)"
+        def ratio(parts, x: str) -> str:
+            return f"{poly(parts[0], x)} / {poly(parts[1], x)}"
+        return (f"CASE WHEN {p} < 0.02425 THEN {ratio(M.PPF_TAIL, low)} WHEN {p} > 1 - 0.02425 THEN -({ratio(M.PPF_TAIL, high)}) "
+                f"ELSE {ratio(M.PPF_CENTRE, f'{q} * {q}')} * {q} END")
+
+    def upper(z: str) -> str:
+        t = f"(1 / (1 + abs({z}) / sqrt(2) / 2))"
+        tail = f"({t} * exp(-({z}) * ({z}) / 2 + {poly(M.ERFC, t)}) / 2)"
+        return f"CASE WHEN {z} >= 0 THEN {tail} ELSE 1 - {tail} END"
+
+    large = " ".join(f"WHEN moved <= {end} THEN {poly(coefs, 'moved')}" for end, coefs in M.KS_PIECES)
+    return f"""WITH x AS (SELECT o_orderpriority AS g, CAST(o_totalprice AS DOUBLE) AS v,
+  row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice) AS i,
+  count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW') AND o_totalprice IS NOT NULL),
+p AS (SELECT *, (i - 0.375) / (n + 0.25) AS p FROM x),
+m AS (SELECT *, {ppf('p')} AS m FROM p),
+s AS (SELECT g, n, avg(v) AS mean, sum(m * m) AS mm, var_pop(v) * n AS ss, 1 / sqrt(n) AS u,
+  max(CASE WHEN i = n THEN m END) AS mn, max(CASE WHEN i = n - 1 THEN m END) AS mn1 FROM m GROUP BY g, n),
+e AS (SELECT *, {poly(M.SW_AN, 'u')} + mn / sqrt(mm) AS an, {poly(M.SW_AN1, 'u')} + mn1 / sqrt(mm) AS an1 FROM s),
+f AS (SELECT *, (mm - 2 * mn * mn - 2 * mn1 * mn1) / (1 - 2 * an * an - 2 * an1 * an1) AS phi FROM e),
+w AS (SELECT g, n, pow(sum(v * CASE WHEN i = 1 THEN -an WHEN i = 2 THEN -an1 WHEN i = n - 1 THEN an1 WHEN i = n THEN an ELSE m / sqrt(phi) END), 2) / any_value(ss) AS w
+  FROM m JOIN f USING (g, n) GROUP BY g, n),
+k AS (SELECT g, n, max(greatest(i / n - below, below - (i - 1) / n)) AS d FROM (
+  SELECT g, n, i, 1 - ({upper('z')}) AS below FROM (SELECT x.*, (v - mean) / sqrt(ss / (n - 1)) AS z FROM x JOIN s USING (g, n))) GROUP BY g, n),
+q AS (SELECT g, d, exp({poly(M.KS_HUNDRED, 'd * pow(n / 100, 0.49)')}) AS small, (sqrt(n) - 0.01 + 0.85 / sqrt(n)) * d AS moved FROM k),
+l AS (SELECT w.*, d, CASE WHEN small <= 0.1 THEN small ELSE CASE {large} ELSE 0 END END AS ks,
+  (ln(greatest(1 - w, 1e-19)) - {poly(M.SW_MU, 'ln(n)')}) / exp({poly(M.SW_SIGMA, 'ln(n)')}) AS z FROM w JOIN q USING (g))
+SELECT g AS o_orderpriority, CAST(n AS BIGINT) AS n, round(w, 6) AS w_stat, CASE WHEN n > {M.SW_MOST} THEN round(d, 6) END AS ks_stat,
+  round(CASE WHEN n > {M.SW_MOST} THEN least(greatest(ks, 0), 1) ELSE {upper('z')} END, 6) AS p_value,
+  CASE WHEN n > {M.SW_MOST} THEN 'kolmogorov_smirnov' ELSE 'shapiro_wilk' END AS test FROM l"""
+
+
+@query("shapiro", sql=_shapiro_sql())
 def q_shapiro(spark, sf_dir):
     """M8: normality of order value for the two priority groups."""
     o = Tables(spark, sf_dir).orders.where(F.col("o_orderpriority").isin("1-URGENT", "5-LOW"))

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from insight.functions.order_stats import value_at_rank
+from insight.operators.ml import seeded_order
 from insight.plans.registry import i64, query, r
 from insight.sources import Tables
 
@@ -87,11 +88,11 @@ def q_latest_match(spark, sf_dir):
                     F.to_date("m.o_orderdate").alias("o_orderdate"))
 
 
-@query("random_pick")
+@query("random_pick", sql="SELECT c_custkey FROM customer ORDER BY md5(CAST(c_custkey AS VARCHAR) || '|45'), c_custkey LIMIT 1")
 def q_random_pick(spark, sf_dir):
     """A reproducible random customer (seeded hash order)."""
     c = Tables(spark, sf_dir).customer
-    return c.orderBy(F.xxhash64("c_custkey", F.lit(45)), "c_custkey").limit(1).select("c_custkey")
+    return c.orderBy(seeded_order("c_custkey", 45), "c_custkey").limit(1).select("c_custkey")
 
 
 @query("kth_smallest", sql="""SELECT round(o_totalprice, 6) AS threshold FROM orders
