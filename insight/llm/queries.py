@@ -24,7 +24,7 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-QUALITY_SQL = r"""
+QUALITY_BITS = r"""
 WITH base AS (
   SELECT doc_id, coalesce(text, '') AS t,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
@@ -48,7 +48,8 @@ b AS (
   SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT
      + 4 * (100 * n_symbols > 10 * n_words)::INT + 8 * (100 * n_dup_lines > 50 * n_lines)::INT
      + 16 * (word_chars < 2 * n_words)::INT + 32 * (word_chars > 20 * n_words)::INT
-     + 64 * (n_words > 1000000)::INT)::BIGINT AS fail_bits FROM m)
+     + 64 * (n_words > 1000000)::INT)::BIGINT AS fail_bits FROM m)"""
+QUALITY_SQL = QUALITY_BITS + """
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
        (fail_bits & 63) = 0 AS kept, fail_bits FROM b"""
@@ -63,6 +64,20 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "fail_bits")
 
 
+ABLATION_SQL = QUALITY_BITS + """
+SELECT rule, count(*) FILTER ((fail_bits & bit) <> 0)::BIGINT AS failed,
+       count(*) FILTER ((fail_bits & 63) = bit)::BIGINT AS failed_only_this,
+       count(*) FILTER ((fail_bits & (63 - bit)) = 0)::BIGINT AS kept_without
+FROM b, (VALUES ('few_words', 1), ('repeated_windows', 2), ('symbol_heavy', 4), ('repeated_lines', 8),
+                ('short_words', 16), ('long_words', 32)) AS r(rule, bit) GROUP BY rule"""
+
+
+@query("quality_ablations", ABLATION_SQL)
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 2's ablations of policy v1 over the ledger of all documents: per rule how many fail it, fail it alone, and are kept without it."""
+    return quality.ablations(quality.ledger(table(spark, sf_dir, "documents")), "v1")
+
+
 MIX_SQL = r"""
 WITH rows AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
