@@ -34,6 +34,8 @@ from insight.session import ensure_checkpoint_dir
 PIVOTS = 2048
 BLOCK = 512
 TILE = 256
+#: Distances to pivots that a task holds at a time, and visits or neighbours it gathers before it hands them on.
+HELD = 1 << 18
 #: Relative widening of bounds, for rounding in distances.
 SLACK = 1e-9
 #: Copies of a point's row that its equal rows are joined with, one per so many rows.
@@ -61,7 +63,8 @@ def nearest(asks: DataFrame, base: DataFrame, k: int, same: bool = True) -> Data
     if not sample:
         return asks.select("p", F.col("p").alias("q"), F.lit(0.0).alias("distance"), "n").limit(0)
     pivots = np.array([r.v for r in sample])
-    block, tile, slack, dim = BLOCK, TILE, SLACK, pivots.shape[1]
+    block, tile, slack, dim, held_most = BLOCK, TILE, SLACK, pivots.shape[1], HELD
+    step = max(1, held_most // len(pivots))
 
     def matrix(column) -> np.ndarray:
         return np.asarray(column.flatten()).reshape(-1, dim)
@@ -75,10 +78,13 @@ def nearest(asks: DataFrame, base: DataFrame, k: int, same: bool = True) -> Data
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in filter(len, batches):
-            d = distances(matrix(batch.column(1)), pivots)
-            cell = d.argmin(1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(cell)), cell])],
-                                             names=["p", "v", "n", "cell", "far"])
+            x = matrix(batch.column(1))
+            cell, far = np.empty(len(x), np.int32), np.empty(len(x))
+            for a in range(0, len(x), step):
+                d = distances(x[a:a + step], pivots)
+                cell[a:a + step] = own = d.argmin(1)
+                far[a:a + step] = d[np.arange(len(d)), own]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(far)], names=["p", "v", "n", "cell", "far"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, held = None, []
@@ -109,44 +115,67 @@ def nearest(asks: DataFrame, base: DataFrame, k: int, same: bool = True) -> Data
         pack, "cell int, low double, high double, qs binary, ns binary, matrix binary").checkpoint()
 
     def visits(own_only: bool):
+        def cells_of(x: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, ...]:
+            """(cell, row, distance to its pivot, radius) of the cells that each row must visit."""
+            d, at = distances(x, pivots), np.arange(len(x))
+            own = d.argmin(1)
+            if own_only:
+                some = np.zeros(d.shape, bool)
+                some[at, own] = True
+            else:
+                # a radius that certainly holds k rows, where the own cell had too few
+                reach = d + np.where(high >= 0, high, np.inf)[None]
+                order = np.argsort(reach, 1)
+                enough = np.cumsum(weight[order], 1) >= k + same
+                first = np.where(enough.any(1), enough.argmax(1), -1)
+                bound = np.where(first >= 0, np.take_along_axis(reach, order, 1)[at, first], np.inf)
+                radius = np.minimum(radius, bound)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    plane = (d ** 2 - d[at, own][:, None] ** 2) / (2 * between[own])
+                    least = np.maximum(np.maximum(d - high, low - d), np.nan_to_num(plane, nan=0, posinf=0))
+                    some = least <= radius[:, None] + slack * (1 + d + high)
+                some[at, own] = False
+            rows, cells = np.nonzero(some & (high >= 0))
+            return cells, rows, d[rows, cells], radius[rows]
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in filter(len, batches):
-                x, radius = matrix(batch.column(1)), np.asarray(batch.column(2))
-                ids = np.asarray(batch.column(0))
-                d = distances(x, pivots)
-                own = d.argmin(1)
-                if not own_only:  # a radius that certainly holds k rows, where the own cell had too few
-                    reach = d + np.where(high >= 0, high, np.inf)[None]
-                    order = np.argsort(reach, 1)
-                    enough = np.cumsum(weight[order], 1) >= k + same
-                    first = np.where(enough.any(1), enough.argmax(1), -1)
-                    bound = np.where(first >= 0, np.take_along_axis(reach, order, 1)[np.arange(len(x)), first], np.inf)
-                    radius = np.minimum(radius, bound)
-                for cell in range(len(pivots)):
-                    if high[cell] < 0:
-                        continue
-                    if own_only:
-                        some = own == cell
-                    else:
-                        with np.errstate(divide="ignore", invalid="ignore"):
-                            plane = (d[:, cell] ** 2 - d[np.arange(len(x)), own] ** 2) / (2 * between[own, cell])
-                        least = np.maximum(np.maximum(d[:, cell] - high[cell], low[cell] - d[:, cell]), np.nan_to_num(plane, nan=0, posinf=0))
-                        some = (own != cell) & (least <= radius + slack * (1 + d[:, cell] + high[cell]))
-                    rows = np.flatnonzero(some)
-                    for a in range(0, len(rows), tile):
-                        part = rows[a:a + tile]
-                        yield pa.RecordBatch.from_pydict({
-                            "to": pa.array([cell], pa.int32()), "ps": pa.array([np.ascontiguousarray(ids[part], "<i8").tobytes()]),
-                            "xs": pa.array([x[part].tobytes()]), "radii": pa.array([radius[part].tobytes()]),
-                            "pivot": pa.array([d[part, cell].tobytes()])})
+                x, radius, ids = matrix(batch.column(1)), np.asarray(batch.column(2)), np.asarray(batch.column(0))
+                held, size = [], 0
+                for a in range(0, len(x), step):
+                    cells, rows, far, radii = cells_of(x[a:a + step], radius[a:a + step])
+                    held.append((cells, rows + a, far, radii))
+                    size += len(rows)
+                    if size >= held_most or a + step >= len(x):
+                        yield from tiles(x, ids, *map(np.concatenate, zip(*held)))
+                        held, size = [], 0
+
+        def tiles(x: np.ndarray, ids: np.ndarray, cells: np.ndarray, rows: np.ndarray, far: np.ndarray, radii: np.ndarray) -> Iterator[pa.RecordBatch]:
+            order = np.argsort(cells, kind="stable")
+            starts = np.flatnonzero(np.diff(cells[order], prepend=-1))
+            for of_cell in np.split(order, starts[1:]):
+                for a in range(0, len(of_cell), tile):
+                    part = of_cell[a:a + tile]
+                    yield pa.RecordBatch.from_pydict({
+                        "to": pa.array([cells[part[0]]], pa.int32()), "ps": pa.array([np.ascontiguousarray(ids[rows[part]], "<i8").tobytes()]),
+                        "xs": pa.array([x[rows[part]].tobytes()]), "radii": pa.array([radii[part].tobytes()]),
+                        "pivot": pa.array([far[part].tobytes()])})
         return run
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = 0
+        out: list[list] = [[], [], [], []]
+
+        def found() -> pa.RecordBatch:
+            types = (pa.int64(), pa.int64(), pa.float64(), pa.int64())
+            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["p", "q", "distance", "n"])
+            for c in out:
+                c.clear()
+            return made
+
         for batch in batches:
-            out: list[list] = [[], [], [], []]
-            for row in zip(*(batch.column(c).to_pylist() for c in range(9))):
-                ps, xs, radii, at, inner, outer, qs, ns, data = row
+            for at_row in range(batch.num_rows):
+                ps, xs, radii, at, inner, outer, qs, ns, data = (batch.column(c)[at_row].as_py() for c in range(9))
                 ps, qs, ns = (np.frombuffer(b, "<i8") for b in (ps, qs, ns))
                 radii, at = np.frombuffer(radii), np.frombuffer(at)
                 wide = slack * (1 + at + outer)
@@ -166,8 +195,9 @@ def nearest(asks: DataFrame, base: DataFrame, k: int, same: bool = True) -> Data
                         near, counts = near[keep], counts[keep]
                     for to, values in zip(out, ([int(ps[i])] * len(near), qs[near].tolist(), line[near].tolist(), counts.tolist())):
                         to += values
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64()),
-                                              pa.array(out[3], pa.int64())], names=["p", "q", "distance", "n"])
+                if len(out[0]) >= held_most // 8:
+                    yield found()
+        yield found()
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([None], pa.float64()),
                                           pa.array([pairs], pa.int64())], names=["p", "q", "distance", "n"])
 

@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,3 +134,18 @@ def test_knn_impute_equals_brute_force(spark):
     assert got.keys() == want.keys()
     for i in want:
         assert all(math.isclose(g, w, rel_tol=1e-9, abs_tol=1e-9) for g, w in zip(got[i], want[i])), (i, got[i], want[i])
+
+
+def test_small_portions_make_the_same_neighbours(spark, monkeypatch):
+    """A task may hold few distances at a time: portions of some rows, tiles and results cut between them."""
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(rng.integers(0, 30, (400, 2)))], "id long, a double, b double")
+    pts = N.points(df, "id", ["a", "b"])
+
+    def found():
+        rows = N.nearest(pts, pts, 4)
+        return sorted(map(tuple, rows.where("p is not null").collect())), rows.where("p is null").agg({"n": "sum"}).first()[0]
+    whole, compared = found()
+    monkeypatch.setattr(N, "HELD", 100)
+    small, again = found()
+    assert small == whole and again == compared
