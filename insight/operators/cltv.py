@@ -90,9 +90,9 @@ def bgnbd_expected_purchases(t: float, x: Column, tx: Column, T: Column, r: floa
     x = x.cast("double")
     ha, hb, hc = r + x, b + x, a + b + x - 1
     z = F.lit(float(t)) / (alpha + T + t)
-    direct = hyp2f1(ha, hb, hc, z, terms)
-    euler = F.pow(1 - z, hc - ha - hb) * hyp2f1(hc - ha, hc - hb, hc, z, terms)
-    h = F.when(hc - ha - hb >= 0, direct).otherwise(euler)
+    direct = hc - ha - hb >= 0
+    series = hyp2f1(F.when(direct, ha).otherwise(hc - ha), F.when(direct, hb).otherwise(hc - hb), hc, z, terms)
+    h = F.when(direct, series).otherwise(F.pow(1 - z, hc - ha - hb) * series)
     first = (a + b + x - 1) / (a - 1)
     second = 1 - h * F.pow((alpha + T) / (alpha + t + T), r + x)
     denom = 1 + F.when(x > 0, F.lit(1.0)).otherwise(F.lit(0.0)) * (a / (b + x - 1)) * F.pow(
@@ -102,6 +102,8 @@ def bgnbd_expected_purchases(t: float, x: Column, tx: Column, T: Column, r: floa
 
 # ------------------------------------------------------------------ fitting
 STEP = 3e-4
+#: Distinct inputs of a part of the fits' data.
+PART_ROWS = 10_000
 STEP_SIZES = (1.0, 0.5, 0.25, 0.1, 0.03, 0.01, 0.001)
 
 
@@ -147,7 +149,10 @@ def minimise(evaluate, x0: np.ndarray, tol: float = 1e-6, max_iter: int = 200) -
 def _compact(df: DataFrame, cols: list[str]) -> DataFrame:
     """Distinct inputs with weights, cut from lineage by a reliable checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_w")).checkpoint(eager=True)
+    data = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_w")).checkpoint(eager=True)
+    # every row costs much arithmetic in each pass, so a few megabytes are work for many tasks
+    parts = min(df.sparkSession.sparkContext.defaultParallelism, -(-data.count() // PART_ROWS))
+    return data.repartition(parts).checkpoint(eager=True) if parts > data.rdd.getNumPartitions() else data
 
 
 def fit_bgnbd(base: DataFrame, frequency: str = "frequency", recency: str = "recency_weekly",
@@ -247,10 +252,10 @@ def cltv_pipeline(base: DataFrame, key: str, months: int = 6) -> DataFrame:
     """Fit, score, scale to 1..100 and cut into quartile segments."""
     bg = fit_bgnbd(base)
     gg = fit_ggamma(base)
-    scored = customer_lifetime_value(base, bg, gg, months=months)
-    scored = minmax_scale_col(scored, "clv", "scaled_clv")
-    ensure_checkpoint_dir(scored.sparkSession)
-    scored = scored.checkpoint(eager=True)
+    ensure_checkpoint_dir(base.sparkSession)
+    # once, before the range of the values is taken and before the ranks are looked for
+    scored = customer_lifetime_value(base, bg, gg, months=months).checkpoint(eager=True)
+    scored = minmax_scale_col(scored, "clv", "scaled_clv").checkpoint(eager=True)
     return qcut(scored, "scaled_clv", ["D", "C", "B", "A"], "cltv_segment")
 
 
