@@ -26,12 +26,13 @@ def basket_items(df: DataFrame, basket: str, item: str, quantity: str) -> DataFr
 
 def frequent_itemsets(pairs: DataFrame, basket: str, item: str, min_support: float) -> DataFrame:
     """(items sorted array, freq, support) with support >= min_support."""
-    baskets = pairs.groupBy(basket).agg(F.array_sort(F.collect_set(item)).alias("items"))
-    n = pairs.agg(F.count_distinct(basket).alias("_nb"))  # one row, attached lazily
+    ensure_checkpoint_dir(pairs.sparkSession)
+    # written once: the count of baskets and the passes of the mining read it, and the pairs are made only for it
+    baskets = pairs.groupBy(basket).agg(F.array_sort(F.collect_set(item)).alias("items")).checkpoint(eager=True)
+    n = baskets.agg(F.count(basket).alias("_nb"))  # one row, attached lazily; as before, a null basket is not counted
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=0.0).fit(baskets)
     # freqItemsets is backed by an uncached RDD: every reference would mine the
     # FP-tree again, so the (small) itemset table is checkpointed once
-    ensure_checkpoint_dir(pairs.sparkSession)
     return model.freqItemsets.crossJoin(F.broadcast(n)).select(
         F.array_sort("items").alias("items"), "freq",
         (F.col("freq") / F.col("_nb")).alias("support")).checkpoint(eager=True)
