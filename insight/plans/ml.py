@@ -79,7 +79,7 @@ def q_gbt_regression(spark, sf_dir):
     """Boosted trees (100 rounds of depth 5), test RMSE, importances (zero-importance flagged)."""
     ensure_checkpoint_dir(spark)
     d = _reg_data(spark, sf_dir).checkpoint(eager=True)
-    model = L.fit_gbt(d.where(F.col("split") == "train"), _REG_FEATURES, "l_extendedprice")
+    model = L.fit_gbt(d.where(F.col("split") == "train"), _REG_FEATURES, "l_extendedprice", by_cells=True)
     imp = L.importance_table(spark, model, _REG_FEATURES)
     rmse = L.regression_metrics(model.transform(L.assemble(d.where(F.col("split") == "test"),
                                                           _REG_FEATURES)), "l_extendedprice")
@@ -94,9 +94,9 @@ def q_gbt_top_features(spark, sf_dir):
     ensure_checkpoint_dir(spark)
     d = _reg_data(spark, sf_dir).checkpoint(eager=True)
     train, test = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
-    full = L.fit_gbt(train, _REG_FEATURES, "l_extendedprice")
+    full = L.fit_gbt(train, _REG_FEATURES, "l_extendedprice", by_cells=True)
     top = L.top_features(full, _REG_FEATURES, 3)
-    small = L.fit_gbt(train, top, "l_extendedprice")
+    small = L.fit_gbt(train, top, "l_extendedprice", by_cells=True)
     rmse = [L.regression_metrics(m.transform(L.assemble(test, f)), "l_extendedprice").first()["rmse"]
             for m, f in ((full, _REG_FEATURES), (small, top))]
     return L.split_counts(spark, full, _REG_FEATURES).select(
