@@ -7,21 +7,30 @@ predictions are column expressions (own ``lgamma`` and 2F1, no UDF).
 Fitting: customers are first collapsed to distinct (x, t_x, T) - or (x, m) -
 with a weight, which is reliably checkpointed into ``spark.checkpoint.dir``.
 A damped Newton search runs on the driver over 3-4 numbers; each iteration
-evaluates all of its points in two aggregate passes over the checkpointed
-table (points are rows of a tiny broadcast table). Only parameter vectors and
+evaluates all of its points in two passes over arrays of the checkpointed
+table, which Spark keeps for the fit. Only parameter vectors and
 sums cross to the driver. A fit that does not reach a flat point raises.
 """
 
 from __future__ import annotations
 
+import math
+import sys
+from collections.abc import Callable, Iterator, Sequence
+
 import numpy as np
+import pyarrow as pa
+from pyspark import RDD, StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from insight.functions.order_stats import group_medians_of, qcut
-from insight.functions.scalar import hyp2f1, lgamma, log_sum_exp
+from insight.functions.scalar import hyp2f1, lgamma, lgamma_array, log_sum_exp
 from insight.session import ensure_checkpoint_dir
 
+# tasks get these functions themselves: the machines they run on need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Weeks per month used to step monthly value (weekly data).
 WEEKS_PER_MONTH = 4.345
 
@@ -75,6 +84,28 @@ def ggamma_loglik_expr(x: Column, m: Column, p: float | Column, q: float | Colum
             + (p * x - 1) * F.log(m) + p * x * F.log(x) - (p * x + q) * F.log(x * m + v))
 
 
+def bgnbd_loglik(x: np.ndarray, tx: np.ndarray, T: np.ndarray, r: float, alpha: float, a: float, b: float) -> np.ma.MaskedArray:
+    """``bgnbd_loglik_expr`` on arrays, masked where that is null: at a logarithm of what is not above 0. Functions of the
+    purchase count alone are worked out once for each count."""
+    n, of = np.unique(x, return_inverse=True)
+    lg = lgamma_array
+    part1 = (lg(r + n) - lg(r) + r * np.log(alpha) + lg(a + b) + lg(b + n) - lg(b) - lg(a + b + n))[of]
+    a3 = -(r + x) * np.log(alpha + T)
+    a4 = (np.log(a) - np.log(b + np.maximum(n, 1.0) - 1))[of] - (r + x) * np.log(alpha + tx)
+    m = np.maximum(a3, a4)
+    null = (x + min(r, b) <= 0) | (alpha + T <= 0) | ((alpha + tx <= 0) & (x > 0))
+    return np.ma.array(part1 + np.where(x > 0, m + np.log(np.exp(a3 - m) + np.exp(a4 - m)), a3), mask=null)
+
+
+def ggamma_loglik(x: np.ndarray, m: np.ndarray, p: float, q: float, v: float) -> np.ma.MaskedArray:
+    """``ggamma_loglik_expr`` on arrays, masked where that is null."""
+    n, of = np.unique(x, return_inverse=True)
+    lg = lgamma_array
+    of_count = (lg(p * n + q) - lg(p * n) - lg(q) + q * np.log(v) + p * n * np.log(n))[of]
+    null = (x <= 0) | (m <= 0) | (x * m + v <= 0)
+    return np.ma.array(of_count + (p * x - 1) * np.log(m) - (p * x + q) * np.log(x * m + v), mask=null)
+
+
 def ggamma_expected_profit(x: Column, m: Column, p: float, q: float, v: float) -> Column:
     x = x.cast("double")
     return (p * (v + x * m)) / (p * x + q - 1)
@@ -155,6 +186,58 @@ def _compact(df: DataFrame, cols: list[str]) -> DataFrame:
     return data.repartition(parts).checkpoint(eager=True) if parts > data.rdd.getNumPartitions() else data
 
 
+#: Rows of an array, so that what is worked out for it stays in a processor's cache.
+ARRAY_ROWS = 8_192
+
+
+def _arrays(data: DataFrame, cols: Sequence[str]) -> RDD:
+    """``cols`` and the weight of at most ``ARRAY_ROWS`` rows at a time as an array of doubles, a row a column, kept until ``unpersist``.
+    Rows with a null in one of ``cols`` are not there: a sum passes over their likelihood (``_mean_loglik``)."""
+    n = len(cols) + 1
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = np.stack([c.to_numpy(zero_copy_only=False).astype("float64") for c in batch.columns])
+            for at in range(0, whole.shape[1], ARRAY_ROWS):
+                yield pa.RecordBatch.from_pydict({"a": [np.ascontiguousarray(whole[:, at:at + ARRAY_ROWS]).tobytes()]})
+
+    numbers = data.select(*[F.col(c).cast("double") for c in (*cols, "_w")]).na.drop(subset=list(cols))
+    return numbers.mapInArrow(pack, "a binary").rdd.map(lambda r: np.frombuffer(r.a).reshape(n, -1)).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _mean_loglik(arrays: RDD, total: float, loglik: Callable[..., np.ma.MaskedArray], points: Sequence[Sequence[float]]) -> list[float]:
+    """Weighted sum of ``loglik(*columns, *point)`` over the ``total`` weight for each point, from one pass; as in SQL, nulls add
+    nothing and their weight counts. NaN for a point where a sum is not finite or nothing was added."""
+    def of_part(part):
+        sums = np.zeros((2, len(points)))
+        with np.errstate(all="ignore"):
+            for *cols, w in part:
+                for i, point in enumerate(points):
+                    ll = loglik(*cols, *point)
+                    sums[:, i] += w @ ll.filled(0.0), w @ ~np.ma.getmaskarray(ll)
+        yield sums
+
+    sums = np.array(arrays.mapPartitions(of_part).collect()).reshape(-1, 2, len(points))
+    return [math.fsum(s) / total if n.any() and np.isfinite(s).all() else math.nan for s, n in (sums[:, :, i].T for i in range(len(points)))]
+
+
+def _fit(data: DataFrame, cols: Sequence[str], loglik: Callable[..., np.ma.MaskedArray], n: int, penalizer: float) -> np.ndarray:
+    """The ``n`` positive parameters of least penalised mean negative log-likelihood."""
+    total = data.agg(F.sum("_w")).first()[0]
+    arrays = _arrays(data, cols)
+
+    def evaluate(points):
+        with np.errstate(over="ignore"):
+            points = [np.exp(lp) for lp in points]
+            values = _mean_loglik(arrays, total, loglik, [[float(v) for v in p] for p in points])
+            return [-v + penalizer * float(np.sum(p ** 2)) if np.isfinite(v) else np.inf for v, p in zip(values, points)]
+
+    try:
+        return np.exp(minimise(evaluate, np.zeros(n))[0])
+    finally:
+        arrays.unpersist()
+
+
 def fit_bgnbd(base: DataFrame, frequency: str = "frequency", recency: str = "recency_weekly",
               age: str = "t_weekly", penalizer: float = 0.001) -> dict[str, float]:
     """Maximum (penalised) likelihood for r, alpha, a, b. Times are
@@ -164,28 +247,8 @@ def fit_bgnbd(base: DataFrame, frequency: str = "frequency", recency: str = "rec
                                 F.col(recency).alias("tx"), F.col(age).alias("T")),
                     ["x", "tx", "T"])
     scale = 10.0 / data.agg(F.max("T")).first()[0]
-    x, tx, T = F.col("x"), F.col("tx") * scale, F.col("T") * scale
-
-    spark = base.sparkSession
-    ll = bgnbd_loglik_expr(x, tx, T, F.col("_r"), F.col("_alpha"), F.col("_a"), F.col("_b"))
-
-    def evaluate(points):
-        # candidate points are rows of a tiny table, so the generated code is
-        # identical in every iteration and all points share one pass
-        params = spark.createDataFrame(
-            [(i, *map(float, np.exp(lp))) for i, lp in enumerate(points)],
-            "_pid int, _r double, _alpha double, _a double, _b double")
-        rows = {row["_pid"]: row["f"] for row in data.crossJoin(F.broadcast(params))
-                .groupBy("_pid").agg((F.sum(F.col("_w") * ll) / F.sum("_w")).alias("f")).collect()}
-        out = []
-        for i, lp in enumerate(points):
-            v = rows.get(i)
-            pen = penalizer * float(np.sum(np.exp(lp) ** 2))
-            out.append(np.inf if v is None or not np.isfinite(v) else -v + pen)
-        return out
-
-    found, _ = minimise(evaluate, np.zeros(4))
-    best = np.exp(found)
+    scaled = data.withColumns({"tx": F.col("tx") * scale, "T": F.col("T") * scale})
+    best = _fit(scaled, ["x", "tx", "T"], bgnbd_loglik, 4, penalizer)
     return {"r": float(best[0]), "alpha": float(best[1] / scale), "a": float(best[2]),
             "b": float(best[3])}
 
@@ -195,25 +258,7 @@ def fit_ggamma(base: DataFrame, frequency: str = "frequency", monetary: str = "m
     """Maximum (penalised) likelihood for p, q, v of the Gamma-Gamma model."""
     data = _compact(base.select(F.col(frequency).cast("double").alias("x"),
                                 F.col(monetary).alias("m")), ["x", "m"])
-
-    spark = base.sparkSession
-    ll = ggamma_loglik_expr(F.col("x"), F.col("m"), F.col("_p"), F.col("_q"), F.col("_v"))
-
-    def evaluate(points):
-        params = spark.createDataFrame(
-            [(i, *map(float, np.exp(lp))) for i, lp in enumerate(points)],
-            "_pid int, _p double, _q double, _v double")
-        rows = {row["_pid"]: row["f"] for row in data.crossJoin(F.broadcast(params))
-                .groupBy("_pid").agg((F.sum(F.col("_w") * ll) / F.sum("_w")).alias("f")).collect()}
-        out = []
-        for i, lp in enumerate(points):
-            val = rows.get(i)
-            pen = penalizer * float(np.sum(np.exp(lp) ** 2))
-            out.append(np.inf if val is None or not np.isfinite(val) else -val + pen)
-        return out
-
-    found, _ = minimise(evaluate, np.zeros(3))
-    best = np.exp(found)
+    best = _fit(data, ["x", "m"], ggamma_loglik, 3, penalizer)
     return {"p": float(best[0]), "q": float(best[1]), "v": float(best[2])}
 
 
